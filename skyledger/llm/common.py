@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +18,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, wherever it lies on the driver."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp(prefix="spark-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        context.addPyFile(str(target))
+        _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; only where it is unset (tests) a local one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
@@ -25,14 +43,16 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: the lineage ends there, so a lost executor costs no recomputation.
-
-    The table goes when the application ends.
-    """
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there goes when the application ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: the lineage ends there, so a lost executor costs no recomputation."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import line_dedup, quality, sharding
-from skyledger.llm.common import table
+from skyledger.llm import line_dedup, packing, quality, sharding, token_files
+from skyledger.llm.common import scratch_path, table
 
 BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -16,11 +16,21 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.score_quality(docs, keep_text=False).select("doc_id", *quality.FEATURES, "base_failed", "kept")
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), out)
+    return token_files.read_token_files(spark, out, with_ids=False)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -44,7 +54,9 @@ FROM marked GROUP BY doc_id
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_packing": op2_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op7_token_files": op7_token_files,
     "op9_line_dedup": op9_line_dedup,
 }
 ORACLE_SQL = {"op9_line_dedup": OP9_SQL}

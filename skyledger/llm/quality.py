@@ -48,7 +48,7 @@ def rules() -> dict[str, Column]:
         "lines": _vote(F.col("n_dup_lines") == 0, F.col("n_dup_lines") > 0.3 * F.col("_lines")),
         "case": _vote(F.col("_upper") <= 0.15 * letters, F.col("_upper") > 0.4 * letters),
         "function_words": _vote(F.col("_stops") >= 3, (F.col("_stops") == 0) & (F.col("n_words") >= 30)),
-        "letters": _vote(F.col("_letters") >= 0.93 * F.col("word_chars"), F.col("_letters") < 0.88 * F.col("word_chars")),
+        "letters": _vote(F.col("_letters") >= 0.92 * F.col("word_chars"), F.col("_letters") < 0.8 * F.col("word_chars")),
         "exclamation": _vote(F.col("_marks") <= 0.05 * words, F.col("_marks") > 0.25 * words),
     }
 

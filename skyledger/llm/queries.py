@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import line_dedup, packing, quality, sharding, token_files
+from skyledger.llm import line_dedup, ngram_join, packing, quality, sharding, token_files
 from skyledger.llm.common import scratch_path, table
 
 BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -20,6 +20,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.score_quality(docs, keep_text=False).select("doc_id", *quality.FEATURES, "base_failed", "kept")
@@ -55,6 +59,7 @@ FROM marked GROUP BY doc_id
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_files": op7_token_files,
     "op9_line_dedup": op9_line_dedup,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import line_dedup, ngram_join, packing, quality, sharding, token_files
+from skyledger.llm import line_dedup, ngram_join, packing, quality, secrets, sharding, token_files
 from skyledger.llm.common import scratch_path, table
 
 BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -40,6 +40,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+
+
 OP9_SQL = f"""
 WITH split AS (
   SELECT doc_id, u.pos, u.line
@@ -63,5 +67,6 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op7_token_files": op7_token_files,
     "op9_line_dedup": op9_line_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 ORACLE_SQL = {"op9_line_dedup": OP9_SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import line_dedup, ngram_join, packing, quality, secrets, sharding, token_files
+from skyledger.llm import decontaminate, langid, line_dedup, ngram_join, packing, quality, secrets, sharding, token_files
 from skyledger.llm.common import scratch_path, table
 
 BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -24,6 +24,10 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.train_and_identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.score_quality(docs, keep_text=False).select("doc_id", *quality.FEATURES, "base_failed", "kept")
@@ -35,6 +39,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, out, with_ids=False)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -64,8 +72,10 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_files": op7_token_files,
+    "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_secret_scan": op10_secret_scan,
 }

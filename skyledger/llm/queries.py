@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontaminate, langid, line_dedup, ngram_join, packing, quality, secrets, sharding, token_files
+from skyledger.llm import decontaminate, langid, line_dedup, ngram_join, packing, quality, secrets, sharding, suffix_dedup, token_files
 from skyledger.llm.common import scratch_path, table
 
 BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -33,6 +33,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, keep_text=False).select("doc_id", *quality.FEATURES, "base_failed", "kept")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), out)
@@ -74,6 +78,7 @@ QUERIES = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,

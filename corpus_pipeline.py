@@ -2,24 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from skyledger.llm import line_dedup, quality
+from skyledger.llm import decontaminate, line_dedup, ngram_join, packing, quality
 from skyledger.llm.common import materialize, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep; null and empty texts go."""
     return quality.score_quality(docs).filter("kept").select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts less the lines that other documents repeat."""
+    """Texts less the lines that other documents repeat; a text that loses all stays, empty."""
     return line_dedup.dedup_lines(docs).select(*docs.columns)
 
 
-STAGES = [("quality rules", quality_stage), ("line dedup", line_stage)]
-#: No stage order of SQL expresses the model fit of the first stage.
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest id of each group of near duplicates (five words, 0.8).
+
+    Rows with a null id are in no group and stay; of rows that share an id the one of least text stays.
+    """
+    groups = materialize(ngram_join.jaccard_components(docs, n=5, percent=80), "pipeline-groups")
+    first = groups.filter("component_id = doc_id").select(F.col("doc_id").alias("_first")).distinct()
+    kept = docs.join(first, F.col("doc_id") == F.col("_first"), "left_semi")
+    if not groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+        kept = kept.withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
+    return kept.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+
+
+def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
+    return docs.join(materialize(leaks, "pipeline-leaks"), F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in their sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("line dedup", line_stage),
+    ("near duplicates", near_stage),
+    ("benchmark decontamination", leak_stage),
+    ("packing", packing_stage),
+]
+#: No SQL expresses the model fit of the first stage or the tokenizer of the last.
 ORACLE_SQL = None
 
 

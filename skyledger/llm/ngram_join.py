@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import BLANKS, LOWER, UPPER, materialize, ship
@@ -116,14 +116,35 @@ def _linked(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFram
     return both.filter(100 * F.col("_both") >= percent * (F.col("_sum") - F.col("_both"))).select("a", "b").distinct()
 
 
+def _rare_pairs(open_nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs of nodes of different labels that may link, by their rarest n-grams.
+
+    Sets that link share one of the |x| - ceil(percent * |x| / 100) + 1 rarest n-grams of either (ties by hash). What only
+    one set holds comes first in that order, so near copies that each differ enough make no pair at all.
+    """
+    used = docs.select(F.col("doc_id").alias("node"), "text").join(open_nodes, "node")
+    sets = with_shingles(used, n, "node", "label").select("node", "label", F.xxhash64("_set").alias("_which"), F.size("_set").alias("_n"), "_set").distinct()
+    grams = materialize(sets.select("node", "label", "_which", "_n", F.explode("_set").alias("gram")), "ngram-open-grams")
+    counted = grams.join(grams.groupBy("gram").agg(F.count("*").alias("_df")), "gram")
+    nth = F.row_number().over(Window.partitionBy("node", "_which").orderBy("_df", "gram"))
+    head = F.col("_n") - F.floor((percent * F.col("_n") + 99) / 100) + 1
+    rare = materialize(counted.withColumn("_nth", nth).filter((F.col("_nth") <= head) & (F.col("_df") > 1)), "ngram-rare")
+    x = rare.select("gram", F.col("node").alias("a"), F.col("label").alias("_la"), F.col("_n").alias("_na"), F.col("_nth").alias("_ia"))
+    y = rare.select("gram", F.col("node").alias("b"), F.col("label").alias("_lb"), F.col("_n").alias("_nb"), F.col("_nth").alias("_ib"))
+    sizes = 100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")
+    # What may still be shared from the first shared n-gram on, in the common order, must reach the overlap bound.
+    reach = (100 + percent) * (F.least(F.col("_na") - F.col("_ia"), F.col("_nb") - F.col("_ib")) + 1) >= percent * (F.col("_na") + F.col("_nb"))
+    return x.join(y, "gram").filter("a < b and _la <> _lb").filter(sizes & reach).select("a", "b")
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles (size of its set), component_id of every row of ``docs``; sets of ``n``-word shingles that share at
     least ``percent`` of their union are linked, and component_id is the smallest doc_id that links reach.
 
     Equal sets are one class, so copies never make pairs. In each bucket of equal blocks all members are compared with its
     smallest member, then with its largest; what one component holds by then needs no more links, and members of different
-    components are compared pair by pair. So no link between components is lost, and a group of near copies costs rows in
-    proportion to its size. Null and empty texts have an empty set and link with nothing. Null ids have a null component and
+    components are compared if they share one of their rarest n-grams. So no link between components is lost, and near
+    copies cost rows in proportion to their number. Null and empty texts have an empty set and link with nothing. Null ids have a null component and
     link nothing. Rows of one id are one document: a link of either is a link of it. An empty table gives an empty result;
     other columns are ignored.
     """
@@ -154,9 +175,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
                 pairs = pairs.join(hub, end).filter("label <> _hub_label")
             pairs = pairs.select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b"))
         else:
-            x = live_buckets.select("key", F.col("node").alias("a"), F.col("label").alias("_la"))
-            y = live_buckets.select("key", F.col("node").alias("b"), F.col("label").alias("_lb"), "first", "last")
-            pairs = x.join(y, "key").filter("a < b and _la <> _lb and a <> first and b <> last").select("a", "b")
+            pairs = _rare_pairs(live_buckets.select("node", "label").distinct(), docs, n, percent)
         pairs = materialize(pairs.distinct(), "ngram-pairs")
         new = materialize(_linked(pairs, docs, n, percent), "ngram-links")
         found = new if found is None else found.unionByName(new)

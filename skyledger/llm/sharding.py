@@ -63,10 +63,13 @@ def plan_shards(groups: DataFrame, n_shards: int) -> tuple[list[int], list[int]]
     rest = group_offsets(groups.filter(~F.col("_key").isin(alone)) if alone else groups)
     width = max(1, -(-left // (k * BLOCKS_PER_SHARD)))
     blocks = rest.groupBy(F.expr(f"_start div {width}L").alias("at")).agg(F.sum("_bytes").alias("size"), F.min("_key").alias("first_key"))
+    blocks = materialize(blocks, "sharding-blocks")
     one = blocks.agg(F.sort_array(F.collect_list(F.struct("at", "size", "first_key"))).alias("blocks"), F.max("size").alias("most"))
-    one = one.withColumns({"sizes": F.col("blocks.size"), "k": F.lit(k).cast("long"), "lo": F.greatest(F.col("most"), F.lit(-(-left // k)).cast("long"))})
-    one = one.withColumn("hi", F.col("lo") + F.col("most")).withColumn("capacity", F.expr(_SEARCH))
-    return alone, list(one.select(F.expr(_CUTS).alias("cuts")).first()["cuts"] or [])
+    searched = one.withColumns({"sizes": F.col("blocks.size"), "k": F.lit(k).cast("long"), "lo": F.greatest(F.col("most"), F.lit(-(-left // k)).cast("long"))})
+    capacity = searched.withColumn("hi", F.col("lo") + F.col("most")).select(F.expr(_SEARCH).alias("capacity")).first()["capacity"]
+    # A literal: as a column the optimiser would put the whole search into the lambda, once for each run.
+    cuts = one.withColumn("capacity", F.lit(capacity).cast("long")).select(F.expr(_CUTS).alias("cuts")).first()["cuts"]
+    return alone, list(cuts or [])
 
 
 def shard_of(alone: list[int], cuts: list[int]) -> Column:

@@ -1,8 +1,9 @@
 """Repeated passages by a sparse suffix array over the words of all texts.
 
-Kept are the suffixes at minimiser positions: the word k-gram of least hash in any WINDOW neighbours. Two equal passages of
-MIN_WORDS words pick the same positions in both, so one such suffix starts in the first WINDOW words of the passage. The
-suffixes are sorted by what follows, neighbours are compared, and matches are extended to the left and the right.
+Kept are the suffixes at minimiser positions: the first word k-gram of least hash among the first WINDOW of any passage of
+MIN_WORDS words. Two equal passages pick the same position, so only suffixes that start alike in two documents can lie in
+a repeated passage. Where all suffixes of one start have the same surroundings, these are repeated; where the surroundings
+differ, each passage of MIN_WORDS words around such a suffix is compared by its hash with those of all other documents.
 """
 
 from __future__ import annotations
@@ -18,101 +19,127 @@ from skyledger.llm.common import BLANKS, LOWER, UPPER, materialize, ship
 
 #: Words of a k-gram, k-grams of a window, words of the shortest passage.
 K, WINDOW, MIN_WORDS = 6, 16, 50
-#: A passage of MIN_WORDS words has a kept suffix with at least so many of its words.
-SUFFIX = MIN_WORDS - WINDOW + 1
+#: A passage of MIN_WORDS words has a kept suffix with at least so many of its words, and at most REACH words on either side.
+SUFFIX, REACH = MIN_WORDS - WINDOW + 1, WINDOW - 1
+#: Words that are hashed at once.
+CHUNK = 500_000
 
+_MULT = np.uint64(0x9E3779B97F4A7C15)
 
-def _rolling(h: np.ndarray, n: int) -> np.ndarray:
-    """Hash of every n words in a row."""
-    if len(h) < n:
-        return np.empty(0, np.uint64)
-    mult = np.uint64(0x9E3779B97F4A7C15)
-    out = np.zeros(len(h) - n + 1, np.uint64)
-    for j in range(n):
-        out = (out ^ (out >> np.uint64(31))) * mult + h[j : j + len(out)]
-    out = (out ^ (out >> np.uint64(32))) * mult
-    return out ^ (out >> np.uint64(29))
 
+def _step(x: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return (x ^ (x >> np.uint64(31))) * _MULT + h
 
-def minimisers(h: np.ndarray) -> np.ndarray:
-    """Positions that hold the least k-gram hash of some WINDOW neighbours (all such positions at ties)."""
-    g = _rolling(h, K)
-    if len(g) < WINDOW:
-        return np.empty(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(g, WINDOW)
-    least = views.min(axis=1)
-    keep = np.zeros(len(g), bool)
-    for j in range(WINDOW):
-        keep[j : j + len(least)] |= g[j : j + len(least)] == least
-    return np.flatnonzero(keep)
 
+def _end(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * _MULT
+    return x ^ (x >> np.uint64(29))
 
-_SUFFIX = "doc_id long, at long, prefix long, left array<int>, right array<int>"
 
+def _folded(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n words from each position, still open for more."""
+    x = np.zeros(len(at), np.uint64)
+    for j in range(n):
+        x = _step(x, h[at + j])
+    return x
+
+
+def picks(h: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all passages of MIN_WORDS words, and the kept suffix of each; ``stop`` is the end of each word's document."""
+    m = len(h) - MIN_WORDS + 1
+    if m <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    g = _end(_folded(h, np.arange(m + WINDOW - 1), K))
+    least, first = g[:m].copy(), np.arange(m)
+    for j in range(1, WINDOW):
+        less = np.flatnonzero(g[j : j + m] < least)
+        least[less], first[less] = g[j + less], j + less
+    starts = np.flatnonzero(np.arange(m) + MIN_WORDS <= stop[:m])
+    return starts, first[starts]
+
+
+def _words(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, _text (which text of the document it is), _h (hashes of its words)."""
+    text = F.translate(F.coalesce(F.col("text"), F.lit("")), BLANKS + UPPER, " " * len(BLANKS) + LOWER)
+    words = docs.select("doc_id", "_text", *more, F.array_remove(F.split(text, " "), "").alias("_w"))
+    return words.select("doc_id", "_text", *more, F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"))
 
-def suffixes(docs: DataFrame) -> DataFrame:
-    """Kept suffixes: hash of the first SUFFIX words, 32-bit hashes of the WINDOW words before (nearest first) and after them."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            col = batch.column("_h")
-            flat, ends = col.values.to_numpy(zero_copy_only=False).view(np.uint64), col.offsets.to_numpy()
-            out: list[list] = [[], [], [], [], []]
-            for doc, a, b in zip(batch.column("doc_id").to_pylist(), ends[:-1], ends[1:], strict=True):
-                h = flat[a:b]
-                heads = _rolling(h, SUFFIX).view(np.int64)
-                at = minimisers(h)
-                at = at[at < len(heads)]
-                short = h.astype(np.uint32).view(np.int32)
-                out[0] += [doc] * len(at)
-                out[1] += at.tolist()
-                out[2] += heads[at].tolist()
-                out[3] += [short[max(0, p - WINDOW) : p][::-1] for p in at]
-                out[4] += [short[p + SUFFIX : p + SUFFIX + WINDOW] for p in at]
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["doc_id", "at", "prefix", "left", "right"])
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, ends of the rows (from 0) and hashes of all words of runs of rows of about CHUNK words."""
+    col = batch.column("_h")
+    flat, ends = col.values.to_numpy(zero_copy_only=False).view(np.uint64), col.offsets.to_numpy().astype(np.int64)
+    a = 0
+    while a < len(ends) - 1:
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + CHUNK, "right")) - 1)
+        yield a, ends[a : b + 1] - ends[a], flat[ends[a] : ends[b]]
+        a = b
 
-    text = F.translate(F.coalesce(F.col("text"), F.lit("")), BLANKS + UPPER, " " * len(BLANKS) + LOWER)
-    words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.array_remove(F.split(text, " "), "").alias("_w"))
-    return words.select("doc_id", F.transform("_w", lambda w: F.xxhash64(w)).alias("_h")).mapInArrow(rows, _SUFFIX)
 
+def suffixes(texts: DataFrame) -> DataFrame:
+    """Kept suffixes: hash of the first SUFFIX words, hash of these with up to REACH words before and after them."""
 
-def _same(a: str, b: str):
-    """Length of the common start of two short arrays."""
-    return F.expr(f"coalesce(array_position(transform(sequence(0, {WINDOW}), i -> coalesce(get({a}, i) = get({b}, i), false)), false) - 1, 0)")
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, which = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "_text"))
+            for a, ends, h in _runs(batch):
+                row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+                at = np.unique(picks(h, ends[row + 1])[1])
+                start, stop = ends[row[at]], ends[row[at] + 1]
+                before, after = np.minimum(at - start, REACH), np.minimum(stop - at - SUFFIX, REACH)
+                x = _folded(h, at, SUFFIX)
+                prefix = _end(x)
+                x = _step(x, (before * WINDOW + after).astype(np.uint64))
+                for first, step, n in ((at + SUFFIX, 1, after), (at - 1, -1, before)):
+                    for j in range(REACH):
+                        x = np.where(j < n, _step(x, h[np.clip(first + step * j, 0, len(h) - 1)]), x)
+                cols = (ids[a + row[at]], which[a + row[at]], at - start, before.astype(np.int8), after.astype(np.int8), prefix.view(np.int64), _end(x).view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc_id", "_text", "at", "before", "after", "prefix", "around"])
+
+    return _words(texts).mapInArrow(rows, "doc_id long, _text long, at long, before byte, after byte, prefix long, around long")
+
+
+def passages(texts: DataFrame, mixed: DataFrame) -> DataFrame:
+    """doc_id, start, hash of every passage of MIN_WORDS words whose kept suffix is in ``mixed`` (doc_id, _text, at)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, col = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("_at")
+            cuts, ats = col.offsets.to_numpy(), col.values.to_numpy(zero_copy_only=False)
+            for a, ends, h in _runs(batch):
+                row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+                marked = np.zeros(len(h), bool)
+                for r in range(len(ends) - 1):
+                    marked[ends[r] + ats[cuts[a + r] : cuts[a + r + 1]]] = True
+                starts, at = picks(h, ends[row + 1])
+                s = starts[marked[at]]
+                cols = (ids[a + row[s]], s - ends[row[s]], _end(_folded(h, s, MIN_WORDS)).view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "start", "passage"])
+
+    at = mixed.groupBy("doc_id", "_text").agg(F.collect_set("at").alias("_at"))
+    return _words(texts.distinct().join(at, ["doc_id", "_text"]), "_at").mapInArrow(rows, "doc_id long, start long, passage long")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, start, end (words, end exclusive) of passages of at least MIN_WORDS words found in another document too.
 
-    Words are blank-separated with A-Z lower-cased. Passages of a document that touch are one row. Sorted once by what
-    follows and once by what precedes a suffix, every suffix is compared with its two neighbours of another document; rows
-    of equal context are one group first, so a passage that a third of all documents hold is a few rows. Null, empty and
-    short texts have none; null ids are left out; repeated rows are one document; an empty table gives an empty result;
-    other columns are ignored.
+    Words are blank-separated with A-Z lower-cased. Passages of a document that touch are one row. Every passage of
+    MIN_WORDS words is compared with those of all other documents by 64-bit hashes, however often its own document holds
+    it. Null, empty and short texts have none; null ids are left out; repeated rows are one document; an empty table gives
+    an empty result; other columns are ignored.
     """
     ship(docs.sparkSession)
-    kept = materialize(suffixes(docs.filter("doc_id is not null")), "suffix-kept")
-    # Suffixes with one prefix, preceded and followed by the same words, are one entry of the array.
-    entries = kept.groupBy("prefix", "left", "right").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    shared = entries.groupBy("prefix").agg(F.min("low").alias("_l"), F.max("high").alias("_h")).filter("_l < _h").select("prefix")
-    entries = materialize(entries.join(shared, "prefix", "left_semi"), "suffix-shared")
-    out = None
-    for order in (["left", "right"], ["right", "left"]):
-        near = Window.partitionBy("prefix").orderBy(*order)
-        # Two entries that one and the same document alone holds are no neighbours of another document.
-        x = entries.withColumns({f"{n}{c}": F.lag(c, d).over(near) for n, d in (("p_", 1), ("n_", -1)) for c in ("left", "right", "low", "high")})
-        spans = [F.when(F.col("low") < F.col("high"), F.struct(F.size("left").alias("l"), F.size("right").alias("r")))]
-        for n in ("p_", "n_"):
-            other = F.col(f"{n}low").isNotNull() & ~((F.col("low") == F.col("high")) & (F.col(f"{n}low") == F.col("low")) & (F.col(f"{n}high") == F.col("high")))
-            spans.append(F.when(other, F.struct(_same("left", f"{n}left").cast("int").alias("l"), _same("right", f"{n}right").cast("int").alias("r"))))
-        x = x.select("prefix", "left", "right", F.explode(F.array(*spans)).alias("s")).filter(f"s is not null and s.l + s.r + {SUFFIX} >= {MIN_WORDS}")
-        x = x.select("prefix", "left", "right", "s.l", "s.r")
-        out = x if out is None else out.unionByName(x)
-    # Spans of one entry all hold the suffix, so their union is one span.
-    out = out.groupBy("prefix", "left", "right").agg(F.max("l").alias("l"), F.max("r").alias("r"))
-    spans = kept.join(out, ["prefix", "left", "right"]).select("doc_id", (F.col("at") - F.col("l")).alias("start"), (F.col("at") + SUFFIX + F.col("r")).alias("end"))
-    return merged(spans.distinct())
+    texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_text"))
+    kept = materialize(suffixes(texts), "suffix-kept")
+    starts = kept.groupBy("prefix").agg(*(f(c).alias(f"_{n}{c}") for c in ("doc_id", "around") for n, f in (("min_", F.min), ("max_", F.max))))
+    # Written first, so that the join can split a start that a third of all documents hold.
+    shared = materialize(starts.filter("_min_doc_id < _max_doc_id").select("prefix", (F.col("_min_around") < F.col("_max_around")).alias("mixed")), "suffix-shared")
+    found = materialize(kept.join(shared, "prefix").select("doc_id", "_text", "at", "before", "after", "mixed"), "suffix-found")
+    same = found.filter("not mixed").select("doc_id", (F.col("at") - F.col("before")).alias("start"), (F.col("at") + SUFFIX + F.col("after")).alias("end"))
+    cut = materialize(passages(texts, found.filter("mixed")), "suffix-passages")
+    repeated = materialize(cut.groupBy("passage").agg(F.min("doc_id").alias("_l"), F.max("doc_id").alias("_h")).filter("_l < _h").select("passage"), "suffix-repeated")
+    spans = cut.join(repeated, "passage", "left_semi").select("doc_id", "start", (F.col("start") + MIN_WORDS).alias("end"))
+    return merged(same.unionByName(spans).distinct())
 
 
 def merged(spans: DataFrame) -> DataFrame:

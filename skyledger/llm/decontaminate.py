@@ -20,15 +20,19 @@ from pyspark.sql import functions as F
 from skyledger.llm.common import ship
 
 K1, B = 1.2, 0.75
-#: Words of a test passage at most, and of half a query passage: any run of SPAN words lies whole in one query.
-SPAN = 96
+#: Words of a test passage at most, and of half a query passage: any run of STEP words lies whole in one query, so a test
+#: passage does with as many words put in as its two halves allow.
+SPAN, STEP = 96, 116
 SHARD_PASSAGES = 20_000
 #: Test passages of a block of the index: their largest impacts bound what a query can score in the block.
 BLOCK = 16
-#: Share of a test passage's own score from which it is retrieved.
+#: Share of a test passage's own score from which it is retrieved; less where the words that may be edited weigh more.
 MIN_SCORE = 0.5
-#: Word n-grams of the overlap check, and the share of those of the question and of the answer that must be in the query.
+#: Word n-grams of the overlap check, and the share of those of the question and of the answer that must be in the query,
+#: or of their words that must stand there in order.
 GRAM, MIN_OVERLAP = 5, 0.8
+#: Edited words that each half of 4 * EDITS words or more may have at least; shorter ones one in four.
+EDITS = 2
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -37,6 +41,44 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+def allowed(n: int) -> int:
+    """Words of a half of n words that may be changed, put in or left out."""
+    return max(int((1 - MIN_OVERLAP) * n + 1e-9), min(EDITS, n // 4))
+
+
+class Half:
+    """Question or answer of a test passage: its n-grams, and its words as bits for the alignment."""
+
+    def __init__(self, words: list[str]) -> None:
+        self.size, self.grams, self.edits = len(words), _grams(words), allowed(len(words))
+        self.bits: dict[str, int] = {}
+        for j, w in enumerate(words):
+            self.bits[w] = self.bits.get(w, 0) | 1 << j
+
+    def distance(self, words: list[str]) -> int:
+        """Least number of words changed, put in or left out between the half and any run of ``words`` (Myers' bit vectors)."""
+        every, high, get = (1 << self.size) - 1, 1 << (self.size - 1), self.bits.get
+        plus, minus, at, best = every, 0, self.size, self.size
+        for w in words:
+            eq = get(w, 0)
+            across = (((eq & plus) + plus) ^ plus) | eq
+            up, down = minus | (every & ~(across | plus)), plus & across
+            at += bool(up & high) - bool(down & high)
+            best = min(best, at)
+            up, down, eq = up << 1 & every, down << 1 & every, eq | minus
+            plus, minus = down | (every & ~(eq | up)), up & eq
+        return best
+
+    def share(self, words: list[str], present: set[str], grams: set) -> float:
+        """Share of the half that a query holds; 0 where it is too little."""
+        share = len(self.grams & grams) / len(self.grams)
+        share = share if share >= MIN_OVERLAP else 0.0
+        # A word that is nowhere in the query is an edit for certain.
+        if share < 1 and sum(w not in present for w in self.bits) <= self.edits and (d := self.distance(words)) <= self.edits:
+            share = max(share, 1 - d / self.size)
+        return share
+
+
 class Index:
     """Postings of test passages (item, number, words) with impacts, and block maxima of each term."""
 
@@ -48,42 +90,49 @@ class Index:
         self.terms = {t: k for k, t in enumerate(df)}
         idf = np.array([math.log(1 + (n - d + 0.5) / (d + 0.5)) for d in df.values()])
         self.postings: list[list[tuple[int, float]]] = [[] for _ in df]
+        self.need: list[float] = []
         for p, w in enumerate(self.texts):
             ks = {self.terms[t]: c * (K1 + 1) / (c + K1 * (1 - B + B * len(w) / mean)) for t, c in Counter(w).items()}
             own = sum(idf[k] * x for k, x in ks.items())
             for k, x in ks.items():
                 self.postings[k].append((p, idf[k] * x / own))
+            # A passage with all the edits that its halves allow still scores so much.
+            count = Counter(w)
+            each = [idf[self.terms[t]] * ks[self.terms[t]] / own / count[t] for t in w]
+            lost = sum(sum(sorted(h, reverse=True)[: allowed(len(h))]) for h in _cut(each))
+            self.need.append(min(MIN_SCORE, 1 - lost))
         self.blocks = -(-n // BLOCK)
+        self.block_need = np.array([min(self.need[b * BLOCK : (b + 1) * BLOCK]) for b in range(self.blocks)])
         self.maxima = np.zeros((len(df) + 1, self.blocks), dtype=np.float32)  # the last row: no term of the index
         for k, posted in enumerate(self.postings):
             for p, x in posted:
                 self.maxima[k, p // BLOCK] = max(self.maxima[k, p // BLOCK], x)
-        self.halves = [self._halves(w) for w in self.texts]
-
-    @staticmethod
-    def _halves(w: list[str]) -> tuple[set, set]:
-        """Question and answer of a test passage: an item is one text, so its first and second half."""
-        cut = (len(w) + 1) // 2
-        return _grams(w[:cut]), _grams(w[cut:])
+        #: An item is one text, so question and answer of a test passage are its first and second half.
+        self.halves = [[Half(h) for h in _cut(w) if h] for w in self.texts]
 
     def candidates(self, terms: np.ndarray, blocks: np.ndarray) -> list[int]:
-        """Test passages of ``blocks`` that score MIN_SCORE or more against a query of these distinct terms, by WAND."""
+        """Test passages of ``blocks`` that score what they need or more against a query of these distinct terms, by WAND."""
         return [p for b in blocks for p in self._block(terms[self.maxima[terms, b] > 0], int(b))]
 
     def _block(self, terms: np.ndarray, b: int) -> list[int]:
         order = sorted(((float(self.maxima[k, b]), int(k)) for k in terms), reverse=True)
-        left, scores = sum(x for x, _ in order), {}
+        left, scores, need = sum(x for x, _ in order), {}, self.block_need[b] - 1e-6
         for bound, k in order:
             for p, x in self.postings[k]:
                 # Once the terms left cannot reach the threshold by themselves, no new passage can enter.
-                if p // BLOCK == b and (p in scores or left >= MIN_SCORE - 1e-6):
+                if p // BLOCK == b and (p in scores or left >= need):
                     scores[p] = scores.get(p, 0.0) + x
             left -= bound
-        return [p for p, x in scores.items() if x >= MIN_SCORE - 1e-9]
+        return [p for p, x in scores.items() if x >= self.need[p] - 1e-9]
 
-    def verified(self, p: int, grams: set) -> float:
-        """The smaller of the shares of the question's and of the answer's n-grams that are in the query."""
-        return min((len(h & grams) / len(h) for h in self.halves[p] if h), default=0.0)
+    def verified(self, p: int, words: list[str], present: set[str], grams: set) -> float:
+        """The smaller of the shares of the question and of the answer that the query holds; 0 where either is too little."""
+        least = 1.0
+        for h in self.halves[p]:
+            least = min(least, h.share(words, present, grams))
+            if not least:
+                break
+        return least
 
     def search(self, text: str | None) -> dict[int, float]:
         """item -> overlap of every item that a passage of the text holds."""
@@ -93,32 +142,38 @@ class Index:
         out: dict[int, float] = {}
         if not len(ids) or not self.blocks:
             return out
-        starts = np.arange(0, max(1, len(ids) - SPAN), SPAN)
+        starts = np.arange(0, max(1, len(ids) - STEP), STEP)
         live = np.unique(ids)
         if len(live) == 1 and live[0] == none:
             return out
         # Sums with repeats are an upper bound of those over distinct terms.
         half = np.add.reduceat(self.maxima[ids], starts, axis=0)
-        if len(ids) > starts[-1] + SPAN:
-            tail = self.maxima[ids[starts[-1] + SPAN :]].sum(axis=0)
+        if len(ids) > starts[-1] + STEP:
+            tail = self.maxima[ids[starts[-1] + STEP :]].sum(axis=0)
             half[-1] -= tail
             half = np.vstack([half, tail])
         bound = half[:-1] + half[1:] if len(half) > 1 else half
-        for q in np.flatnonzero((bound >= MIN_SCORE - 1e-3).any(axis=1)):
-            at = q * SPAN
-            terms = np.unique(ids[at : at + 2 * SPAN])
+        for q in np.flatnonzero((bound >= self.block_need - 1e-3).any(axis=1)):
+            at = q * STEP
+            terms = np.unique(ids[at : at + 2 * STEP])
             terms = terms[terms < none]
-            blocks = np.flatnonzero(self.maxima[terms].sum(axis=0) >= MIN_SCORE - 1e-3)
+            blocks = np.flatnonzero(self.maxima[terms].sum(axis=0) >= self.block_need - 1e-3)
             found = self.candidates(terms, blocks) if len(blocks) else []
             if found:
-                grams = _grams(words[at : at + 2 * SPAN])
+                query = words[at : at + 2 * STEP]
+                present, grams = set(query), _grams(query)
                 for p in found:
-                    share = self.verified(p, grams)
-                    if share >= MIN_OVERLAP:
+                    if share := self.verified(p, query, present, grams):
                         out[self.items[p]] = max(out.get(self.items[p], 0.0), share)
         return out
 
 
+def _cut(x: list) -> tuple[list, list]:
+    """First and second half."""
+    cut = (len(x) + 1) // 2
+    return x[:cut], x[cut:]
+
+
 def _grams(words: list[str]) -> set[tuple[str, ...]]:
     n = min(GRAM, len(words))
     return set(zip(*(words[j:] for j in range(n)), strict=False)) if n else set()
@@ -136,8 +191,8 @@ def test_passages(rows: Iterator[tuple[int, str | None]]) -> Iterator[tuple[int,
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, overlap of every test item that a row of ``docs`` holds; one row for each pair.
 
-    A document holds an item if one of its passages retrieves a test passage of it by BM25 and holds at least MIN_OVERLAP
-    of the n-grams of its question and of its answer. Null and empty texts and items hold nothing and are nowhere; null ids
+    A document holds an item if one of its passages retrieves a test passage of it by BM25 and holds its question and its
+    answer: MIN_OVERLAP of the n-grams, or all but ``allowed`` of the words in order. Null and empty texts and items hold nothing and are nowhere; null ids
     are ids like any other; repeated rows give one row; equal items are each reported. Empty tables give an empty result;
     other columns are ignored.
     """

@@ -5,7 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from skyledger.llm import suffix_dedup
+from skyledger.llm import decontaminate, suffix_dedup
 
 
 def _repeated(texts: dict[int, list[str]], n: int = 50) -> set[tuple[int, int]]:
@@ -31,3 +31,45 @@ def test_passage_held_many_times_by_one_document(spark, length):
     got = {(r.doc_id, q) for r in suffix_dedup.repeated_passages(df).collect() for q in range(r.start, r.end)}
     assert got == _repeated(texts)
     assert sum(i == 1 for i, _ in got) >= 10 * length
+
+
+def _edited(words: list[str], how: str, at: list[int]) -> list[str]:
+    out = list(words)
+    for j in sorted(at, reverse=True):
+        out[j : j + (how != "insert")] = [] if how == "delete" else [f"edit{j}"]
+    return out
+
+
+def test_edited_leaks_are_held(spark):
+    rng = np.random.default_rng(8)
+    items = {r.item_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()}
+    docs, expected = [], set()
+    for item, text in items.items():
+        words = decontaminate.words_of(text)
+        cut = (len(words) + 1) // 2
+        halves = [range(cut), range(cut, len(words))]
+        for how in ("change", "insert", "delete"):
+            places = [[j] for j in range(len(words))] + [rng.choice(len(words), 2, replace=False).tolist() for _ in range(10)]
+            places += [[j for h in halves for j in rng.choice(h, 2, replace=False).tolist()] for _ in range(5)]
+            for at in places:
+                expected.add((len(docs), item))
+                docs.append((len(docs), " ".join([*(f"a{j}" for j in range(rng.integers(200))), *_edited(words, how, at), "the", "end"])))
+        # The question alone, the answer alone, and the words of both in another order are no leak.
+        for other in (words[:cut], words[cut:], rng.permutation(words).tolist()):
+            docs.append((len(docs), " ".join(other)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(df, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+    assert len(got & expected) == len(expected)
+    assert got == expected
+
+
+def test_word_distance_by_plain_computation():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        half, text = (rng.choice(list("abcde"), n).tolist() for n in rng.integers(1, 30, 2))
+        row = [0] * (len(text) + 1)
+        for j, w in enumerate(half, 1):
+            last, row = row, [j]
+            for k, t in enumerate(text, 1):
+                row.append(min(last[k - 1] + (w != t), last[k] + 1, row[-1] + 1))
+        assert decontaminate.Half(half).distance(text) == min(row)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import decontaminate, line_dedup, ngram_join, packing, quality
@@ -19,24 +19,35 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select(*docs.columns)
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``docs`` with _key, and whether ids are null or repeated: then _key is a hash of id and text, else the id."""
+    odd = not docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null").isEmpty()
+    return docs.withColumn("_key", F.xxhash64("doc_id", "text") if odd else F.col("doc_id").cast("long")), odd
+
+
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each group of near duplicates (five words, 0.8).
 
-    Rows with a null id are in no group and stay; of rows that share an id the one of least text stays.
+    Rows are told apart by id and text: rows that share an id, or have none, are documents of their own, and of rows that
+    are equal in both one stays. A null id comes after all others.
     """
-    groups = materialize(ngram_join.jaccard_components(docs, n=5, percent=80), "pipeline-groups")
-    first = groups.filter("component_id = doc_id").select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, F.col("doc_id") == F.col("_first"), "left_semi")
-    if not groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-        kept = kept.withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
-    return kept.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    keyed, odd = _keyed(docs)
+    groups = materialize(ngram_join.jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"), n=5, percent=80), "pipeline-groups")
+    if not odd:
+        first = groups.filter("component_id = doc_id").select(F.col("doc_id").alias("_key"))
+        return keyed.join(first, "_key", "left_semi").select(*docs.columns)
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")
+    members = keyed.select("_key", row.alias("_row")).join(groups.select(F.col("doc_id").alias("_key"), "component_id").distinct(), "_key")
+    first = members.groupBy("component_id").agg(F.min("_row").alias("_row")).select("_row._key")
+    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
-    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(materialize(leaks, "pipeline-leaks"), F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    """Documents that hold no item of the benchmark; rows are told apart by id and text."""
+    keyed, _ = _keyed(docs)
+    leaks = decontaminate.find_leaks(keyed.select(F.col("_key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    leaks = materialize(leaks.select(F.col("doc_id").alias("_key")).distinct(), "pipeline-leaks")
+    return keyed.join(leaks, "_key", "left_anti").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

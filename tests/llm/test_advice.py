@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from skyledger.llm import decontaminate, suffix_dedup
 
 
@@ -73,3 +74,15 @@ def test_word_distance_by_plain_computation():
             for k, t in enumerate(text, 1):
                 row.append(min(last[k - 1] + (w != t), last[k] + 1, row[-1] + 1))
         assert decontaminate.Half(half).distance(text) == min(row)
+
+
+def test_stages_tell_rows_of_one_id_apart(spark):
+    sf = "/root/testdata/sf0.001"
+    leak = next(r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect() if r.text)
+    clean = [" ".join(f"{c}{j}" for j in range(80)) for c in "abcdef"]
+    rows = [(None, leak), (None, clean[0]), (None, clean[1]), (7, leak), (7, clean[2]), (8, clean[3]), (8, ""), (9, clean[4]), (9, clean[4]), (3, clean[0]), (1, clean[5])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(str, (tuple(r) for r in corpus_pipeline.leak_stage(spark, df, sf).collect())))
+    assert got == sorted(str(r) for r in rows if r[1] != leak)
+    got = sorted(map(str, (tuple(r) for r in corpus_pipeline.near_stage(spark, df, sf).collect())))
+    assert got == sorted(map(str, [(7, leak), (None, clean[1]), (7, clean[2]), (8, clean[3]), (8, ""), (9, clean[4]), (3, clean[0]), (1, clean[5])]))

@@ -10,8 +10,10 @@ from skyledger.llm.common import materialize, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; null and empty texts go."""
-    return quality.score_quality(docs).filter("kept").select(*docs.columns)
+    """Documents that the quality rules keep, and those too short for the base rule alone that the posterior keeps; null
+    and empty texts go."""
+    short = (F.col("n_words") > 0) & (F.col("n_words") < quality.MIN_WORDS) & (100 * F.col("n_repeat_words") <= quality.MAX_REPEAT_PERCENT * F.col("n_words"))
+    return quality.score_quality(docs).filter(F.col("kept") | (short & (F.col("quality") >= 0.5))).select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from skyledger.llm import decontaminate, suffix_dedup
+from skyledger.llm import decontaminate, quality, suffix_dedup
 
 
 def _repeated(texts: dict[int, list[str]], n: int = 50) -> set[tuple[int, int]]:
@@ -86,3 +86,14 @@ def test_stages_tell_rows_of_one_id_apart(spark):
     assert got == sorted(str(r) for r in rows if r[1] != leak)
     got = sorted(map(str, (tuple(r) for r in corpus_pipeline.near_stage(spark, df, sf).collect())))
     assert got == sorted(map(str, [(7, leak), (None, clean[1]), (7, clean[2]), (8, clean[3]), (8, ""), (9, clean[4]), (3, clean[0]), (1, clean[5])]))
+
+
+def test_quality_stage_decides_short_texts_by_the_posterior(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    scored = quality.score_quality(docs).collect()
+    short = {r.doc_id for r in scored if 0 < r.n_words < 50 and 2 * r.n_repeat_words <= r.n_words}
+    good = {r.doc_id for r in scored if r.quality >= 0.5}
+    got = {r.doc_id for r in corpus_pipeline.quality_stage(spark, docs, sf).collect()}
+    assert short & good
+    assert got == {r.doc_id for r in scored if r.kept} | (short & good)

@@ -68,6 +68,8 @@ def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
         ways += max(1, int(ways * over) // (2 * capacity))
 
 
+#: Least sequence_id of a full piece.
+FULL = 1 << 62
 _PIECES = "part int, seq long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -109,18 +111,19 @@ def pack_documents(docs: DataFrame, capacity: int = WINDOW, tokenizer: str | Non
     """
     ship(docs.sparkSession)
     pieces = materialize(cut(docs, tokenizer or tokenizer_path(), capacity), "packing-pieces")
-    batches = max(1, round(pieces.filter(F.col("length") < capacity).count() / BATCH_PIECES))
-    dealt = pieces.withColumn("batch", F.pmod(F.xxhash64("part", "seq"), F.lit(batches)))
+    own = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    # Full pieces need no packing; their numbers lie above those of all batches.
+    full = F.lit(FULL) + F.shiftleft(F.col("part").cast("long"), 40) + F.col("seq")
+    full = pieces.filter(F.col("length") >= capacity).select(*own, full.alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    short = pieces.filter(F.col("length") < capacity)
+    batches = max(1, round(short.count() / BATCH_PIECES))
+    dealt = short.withColumn("batch", F.pmod(F.xxhash64("part", "seq"), F.lit(batches)))
 
     def windows(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "part", "seq"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
-        full = int((pdf["length"] >= capacity).sum())
-        sizes = pdf["length"].to_numpy()
-        local = np.arange(len(pdf))
-        if full < len(pdf):
-            local[full:] = full + pack(sizes[full:], capacity)
-        pdf["sequence_id"] = key[0] * (1 << 32) + local
+        pdf["sequence_id"] = key[0] * (1 << 32) + pack(pdf["length"].to_numpy(), capacity)
         pdf["offset"] = pdf.groupby("sequence_id")["length"].cumsum() - pdf["length"]
-        return pdf[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]]
+        return pdf[[*own, "sequence_id", "offset"]]
 
-    return dealt.groupBy("batch").applyInPandas(windows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    packed = dealt.groupBy("batch").applyInPandas(windows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return full.unionByName(packed)

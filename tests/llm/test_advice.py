@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from skyledger.llm import decontaminate, quality, suffix_dedup
+from skyledger.llm import decontaminate, packing, quality, suffix_dedup
 
 
 def _repeated(texts: dict[int, list[str]], n: int = 50) -> set[tuple[int, int]]:
@@ -97,3 +97,20 @@ def test_quality_stage_decides_short_texts_by_the_posterior(spark):
     got = {r.doc_id for r in corpus_pipeline.quality_stage(spark, docs, sf).collect()}
     assert short & good
     assert got == {r.doc_id for r in scored if r.kept} | (short & good)
+
+
+def test_full_pieces_go_through_no_batch(spark):
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, " ".join(f"w{x}" for x in rng.integers(0, 1000, n))) for i, n in enumerate((9000, 20, 4000, 300))], "doc_id long, text string")
+    rows = packing.pack_documents(df, 2048).collect()
+    windows, pieces = defaultdict(int), defaultdict(list)
+    for r in rows:
+        assert (r.length == 2048) == (r.sequence_id >= packing.FULL)
+        windows[r.sequence_id] += r.length
+        pieces[r.doc_id].append((r.start, r.length, r.doc_tokens))
+    assert any(r.length == 2048 for r in rows) and max(windows.values()) <= 2048
+    assert all(r.offset == 0 for r in rows if r.length == 2048)
+    for found in pieces.values():
+        ends = [0, *np.cumsum([n for _, n, _ in sorted(found)]).tolist()]
+        assert [s for s, _, _ in sorted(found)] == ends[:-1] and ends[-1] == found[0][2]
+    assert len(pieces) == 4

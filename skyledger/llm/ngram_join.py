@@ -1,4 +1,4 @@
-"""Self-join of documents by Jaccard similarity of their n-gram sets, as a product of blocks of the incidence matrix.
+"""Self-join of documents by Jaccard similarity of their n-gram sets: equal blocks of the incidence matrix give the pairs.
 
 The n-gram columns of the document by n-gram matrix are dealt into blocks. Two sets of at most ``n`` n-grams that reach the
 similarity differ in few columns at most, a bound that follows from their sizes alone, and the number of blocks is set so

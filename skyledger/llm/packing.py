@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import materialize, ship
-from skyledger.llm.tokens import encode_rows, tokenizer_path
+from skyledger.llm.tokens import encoded, tokenizer_path
 
 WINDOW = 2048
 #: What is left of a document after its full windows is cut once more, at the last multiple of this: the short tails even
@@ -81,14 +81,16 @@ def cut(docs: DataFrame, path: str, capacity: int, tail: int = TAIL) -> DataFram
 
         part, seq = TaskContext.get().partitionId(), 0
         rows: list[tuple] = []
-        for row, ids in encode_rows(batches, path):
-            ends = sorted({*range(capacity, len(ids), capacity), len(ids) // tail * tail, len(ids)} - {0})
-            for start, end in zip([0, *ends], ends, strict=False):
-                rows.append((part, seq, row["doc_id"], start, end - start, zlib.crc32(ids[start:end].tobytes()), len(ids)))
-                seq += 1
-            if len(rows) >= BATCH_PIECES:
-                yield _table(rows)
-                rows = []
+        for batch in batches:
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded(batch.column("text"), path), strict=True):
+                n, view = len(ids) // 4, memoryview(ids)
+                ends = sorted({*range(capacity, n, capacity), n // tail * tail, n} - {0})
+                for start, end in zip([0, *ends], ends, strict=False):
+                    rows.append((part, seq, doc_id, start, end - start, zlib.crc32(view[4 * start : 4 * end]), n))
+                    seq += 1
+                if len(rows) >= BATCH_PIECES:
+                    yield _table(rows)
+                    rows = []
         if rows:
             yield _table(rows)
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import materialize, ship
-from skyledger.llm.tokens import encode_rows, tokenizer_path
+from skyledger.llm.tokens import encoded, tokenizer_path
 
 MAX_BITS = 16
 SEGMENT = 256
@@ -108,14 +108,15 @@ def raw_blocks(ordered: DataFrame, path: str) -> DataFrame:
 
         part, block, size = TaskContext.get().partitionId(), 0, 0
         held: list[tuple] = []
-        for row, ids in encode_rows(batches, path):
-            held.append((row["doc_id"], ids))
-            size += len(ids)
-            if size >= BLOCK_IDS:
-                yield _row(_RAW, part, block, [d for d, _ in held], [len(x) for _, x in held], np.concatenate([x for _, x in held]).astype("<u4").tobytes())
-                held, size, block = [], 0, block + 1
+        for batch in batches:
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded(batch.column("text"), path), strict=True):
+                held.append((doc_id, ids))
+                size += len(ids) // 4
+                if size >= BLOCK_IDS:
+                    yield _row(_RAW, part, block, [d for d, _ in held], [len(x) // 4 for _, x in held], b"".join([x for _, x in held]))
+                    held, size, block = [], 0, block + 1
         if held:
-            yield _row(_RAW, part, block, [d for d, _ in held], [len(x) for _, x in held], np.concatenate([x for _, x in held]).astype("<u4").tobytes())
+            yield _row(_RAW, part, block, [d for d, _ in held], [len(x) // 4 for _, x in held], b"".join([x for _, x in held]))
 
     return ordered.select("doc_id", "text").mapInArrow(encode, _RAW_DDL)
 

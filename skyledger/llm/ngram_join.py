@@ -1,15 +1,18 @@
-"""Self-join of documents by Jaccard similarity of their n-gram sets: equal blocks of the incidence matrix give the pairs.
+"""Self-join of documents by Jaccard similarity of their n-gram sets, as a blocked product of the sparse incidence matrix.
 
-The n-gram columns of the document by n-gram matrix are dealt into blocks. Two sets of at most ``n`` n-grams that reach the
-similarity differ in few columns at most, a bound that follows from their sizes alone, and the number of blocks is set so
-that they must agree on whole blocks that are not empty. So only rows that agree on a block meet; their overlap is counted
-exactly and pairs under the size-derived bound are discarded. No column frequency is needed, and a column that a third of
-all documents hold makes no bucket of its own.
+The columns of the document by n-gram matrix are dealt out by hash, which makes the blocks; the product of a block with
+itself gives, for two documents, how many n-grams of the block both hold, and these counts are summed over the blocks.
+
+Sizes bound what has to be multiplied. Sets that reach the similarity share an n-gram among the first |x| - least overlap + 1
+of each set in any order of all columns, so only these entries are multiplied, and a pair whose sum plus all that may follow
+stays under the overlap that both sizes ask for is discarded. The order is by hash, common columns last: no column of the
+product has more than COMMON entries. A document with too few other n-grams (a member of a large group of near copies, or
+one made of widely used text) is multiplied on its whole set, first against the others, then among its like, where links
+to one member of a bucket come first and columns are in exact order of their frequency.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,175 +20,214 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import BLANKS, LOWER, UPPER, materialize, ship
+from skyledger.llm.common import materialize, release, ship
 from skyledger.llm.components import components
+from skyledger.llm.words import end, folded, runs, step, with_words
 
-#: Sizes from GROWTH ** b to GROWTH ** (b + 1) form a band with one number of blocks.
-GROWTH = 1.4
+#: A column with more entries among those written is common and comes last in the order.
+COMMON = 50
+#: First n-grams of a set that name its buckets among documents of common n-grams.
+BUCKETS = 4
 
 
-def shingles(text: Column, n: int) -> Column:
-    """Sorted distinct 64-bit hashes of the n-word windows of lower-cased words; fewer words: one of all; none: empty."""
-    gram = ", ".join(f"get(w, i + {j})" for j in range(n))
-    words = F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), BLANKS + UPPER, " " * len(BLANKS) + LOWER), " "), "")
-    grams = F.expr(
-        f"transform(array(_w), w -> case when size(w) = 0 then cast(array() as array<bigint>) when size(w) < {n} then array(xxhash64(w)) "
-        f"else array_sort(array_distinct(transform(sequence(0, size(w) - {n}), i -> xxhash64({gram})))) end)[0]"
-    )
-    return words, grams
+def head(n: int, percent: int) -> int:
+    """Entries of a set of ``n`` that must hold one of any set that links with it."""
+    return n - -(-percent * n // 100) + 1
 
 
-def with_shingles(docs: DataFrame, n: int, *keep: str) -> DataFrame:
-    words, grams = shingles(F.col("text"), n)
-    return docs.select(*keep, words.alias("_w")).select(*keep, grams.alias("_set"))
+def _head(n: Column, percent: int) -> Column:
+    return n - F.floor((percent * n + 99) / 100).cast("int") + 1
 
 
-def band_of(size: int) -> int:
-    return int(math.log(size) / math.log(GROWTH) + 1e-9)
+def written(n: int, percent: int) -> int:
+    """Entries that are written: some more than ``head``, for the common ones among them."""
+    p = head(n, percent)
+    return min(n, p + p // 8 + 4)
 
 
-def blocks_of(band: int, percent: int) -> tuple[int, int]:
-    """(blocks, empty ones allowed) of a band.
+def ngram_sets(h: np.ndarray, ends: np.ndarray, n: int) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of the n-word windows of each row's words; fewer words: one of all; none: empty."""
+    windows = len(h) - n + 1
+    g = end(folded(h, np.arange(windows), n)).view(np.int64) if windows > 0 else np.empty(0, np.int64)
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        if b - a >= n:
+            s = np.sort(g[a : b - n + 1])
+            yield s[np.append(True, s[1:] != s[:-1])]
+        elif b > a:
+            yield end(step(folded(h, np.array([a]), b - a), np.uint64(b - a))).view(np.int64)
+        else:
+            yield g[:0]
 
-    A set of m n-grams that links with one at least as large differs from it in at most m * (100 - percent) / percent.
-    Every difference spoils one block at most, so of ``blocks`` more than ``empty`` agree.
-    """
-    most = math.ceil(GROWTH ** (band + 1)) * (100 - percent) // percent
-    empty = 1 + most // 32
-    return most + 1 + empty, empty
 
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(np.concatenate(parts) if parts else [], pa.int64()))
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(29))
 
+def sketches(docs: DataFrame, n: int, percent: int | None) -> DataFrame:
+    """doc_id, n_shingles, node (64-bit hash that names the set) and entries (the first of the set; all without ``percent``)."""
 
-def block_keys(grams: np.ndarray, percent: int) -> np.ndarray:
-    """A key for each block of a sorted set, in its own band and, where the similarity reaches it, the one below."""
-    n, out = len(grams), []
-    for band in range(band_of(max(1, -(-n * percent // 100))), band_of(n) + 1):
-        blocks, allowed = blocks_of(band, percent)
-        place = (grams.view(np.uint64) >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
-        sums = np.zeros(blocks, dtype=np.uint64)
-        np.add.at(sums, place.astype(np.int64), _mix(grams.view(np.uint64)))
-        full = np.bincount(place.astype(np.int64), minlength=blocks) > 0
-        which = np.arange(blocks, dtype=np.uint64) + np.uint64(band << 40)
-        keys = _mix(sums + _mix(which + np.uint64(1)))
-        # Empty blocks count only for sets with so many that nothing else may agree; both sides then have as many.
-        out.append(keys if (~full).sum() > allowed else keys[full])
-    return np.concatenate(out).view(np.int64)
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
 
+        for batch in batches:
+            for a, ends, h in runs(batch):
+                sets = list(ngram_sets(h, ends, n))
+                kept = sets if percent is None else [s[: written(len(s), percent)] for s in sets]
+                sizes = pa.array([len(s) for s in sets], pa.int32())
+                nodes = pa.array(np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, len(sets)), sizes, nodes, _lists(kept)], names=["doc_id", "n_shingles", "node", "entries"])
 
-_SKETCH = "doc_id long, n_shingles long, class binary, keys array<long>"
+    return with_words(docs, "doc_id").mapInArrow(rows, "doc_id long, n_shingles int, node long, entries array<long>")
 
 
-def sketches(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, class (128-bit hash of the set), keys of each row."""
+def _sizes(a: str, b: str, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def _least_overlap(a: str, b: str, percent: int) -> Column:
+    """What two sets of these sizes must share."""
+    total = F.col(a) + F.col(b)
+    return F.floor((percent * total + 99 + percent) / (100 + percent))
+
+
+def product(left: DataFrame, right: DataFrame, percent: int, same: bool) -> DataFrame:
+    """Pairs (a, b) of nodes whose shared entries, summed over all columns, still allow the similarity.
+
+    Entries are gram, node, n (size of the set). With ``same``, both frames are one and each pair comes once.
+    """
+    x = left.select("gram", F.col("node").alias("a"), F.col("n").alias("na"))
+    y = right.select("gram", F.col("node").alias("b"), F.col("n").alias("nb"))
+    pairs = x.join(y, "gram").filter(_sizes("na", "nb", percent) & ((F.col("a") < F.col("b")) if same else (F.col("a") != F.col("b"))))
+    summed = pairs.groupBy("a", "b").agg(F.count("*").alias("both"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    rest = F.greatest(F.col("na") - _head(F.col("na"), percent), F.col("nb") - _head(F.col("nb"), percent))
+    summed = summed.filter(F.col("both") + rest >= _least_overlap("na", "nb", percent))
+    return summed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
 
+def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets, over all columns, reach the similarity. Each side is joined by itself, so that a node of
+    many pairs is split over tasks."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            col = batch.column("_set")
-            flat, ends = col.values.to_numpy(zero_copy_only=False), col.offsets.to_numpy()
-            sets = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            keys = [block_keys(s, percent) if len(s) else np.empty(0, np.int64) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), pa.array(np.concatenate(keys) if keys else [], pa.int64())),
-                ],
-                names=["doc_id", "n_shingles", "class", "keys"],
-            )
-
-    return with_shingles(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), n, "doc_id").mapInArrow(rows, _SKETCH)
-
-
-def _linked(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose overlap reaches the bound of their sizes. Only texts that are in a pair are read again."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    used = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    sets = materialize(with_shingles(used, n, "doc_id"), "ngram-sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("_set").alias("_x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("_set").alias("_y"))
-    small, large = F.least(F.size("_x"), F.size("_y")), F.greatest(F.size("_x"), F.size("_y"))
-    both = pairs.join(right, "b").join(left, "a").filter(100 * small >= percent * large)
-    both = both.select("a", "b", (F.size("_x") + F.size("_y")).alias("_sum"), F.size(F.array_intersect("_x", "_y")).alias("_both"))
-    return both.filter(100 * F.col("_both") >= percent * (F.col("_sum") - F.col("_both"))).select("a", "b").distinct()
-
-
-def _rare_pairs(open_nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Pairs of nodes of different labels that may link, by their rarest n-grams.
-
-    Sets that link share one of the |x| - ceil(percent * |x| / 100) + 1 rarest n-grams of either (ties by hash). What only
-    one set holds comes first in that order, so near copies that each differ enough make no pair at all.
+            (xs, xe), (ys, ye) = ((c.values.to_numpy(zero_copy_only=False), c.offsets.to_numpy()) for c in (batch.column("_x"), batch.column("_y")))
+            keep = []
+            for i in range(batch.num_rows):
+                x, y = xs[xe[i] : xe[i + 1]], ys[ye[i] : ye[i + 1]]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    half = materialize(pairs.join(sets.select(F.col("node").alias("b"), F.col("entries").alias("_y")), "b"), "ngram-half-pairs")
+    both = half.join(sets.select(F.col("node").alias("a"), F.col("entries").alias("_x")), "a")
+    return both.select("a", "b", "_x", "_y").mapInArrow(counted, "a long, b long")
+
+
+def _sets_of(nodes: DataFrame, of_node: DataFrame, docs: DataFrame, n: int, name: str) -> DataFrame:
+    """node, n_shingles, entries (the whole set) of ``nodes``, from the text of one document of each."""
+    ids = of_node.join(nodes, "node", "left_semi").select("doc_id")
+    found = sketches(docs.join(ids, "doc_id", "left_semi"), n, None).groupBy("node").agg(F.first(F.struct("n_shingles", "entries")).alias("one"))
+    return materialize(found.select("node", "one.*"), name)
+
+
+def _open(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Bucket entries (key, node) with their label, of buckets that hold more than one."""
+    own = F.coalesce("label", "node") if labels is not None else F.col("node")
+    marked = (entries.join(labels, "node", "left") if labels is not None else entries).select("key", "node", own.alias("label"))
+    split = marked.groupBy("key").agg(F.min("label").alias("_l"), F.max("label").alias("_h")).filter("_l < _h").select("key")
+    return materialize(marked.join(materialize(split, "ngram-split"), "key", "left_semi"), "ngram-open")
+
+
+def dense_links(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Links among nodes with their whole sets; ``found`` are links already known. Links inside one component may be left out.
+
+    In each bucket of one of the BUCKETS first n-grams all members are compared with the smallest, then with the largest.
+    Then, of all pairs of different components, those that share an n-gram among the first of each, rarest first.
     """
-    used = docs.select(F.col("doc_id").alias("node"), "text").join(open_nodes, "node")
-    sets = with_shingles(used, n, "node", "label").select("node", "label", F.xxhash64("_set").alias("_which"), F.size("_set").alias("_n"), "_set").distinct()
-    grams = materialize(sets.select("node", "label", "_which", "_n", F.explode("_set").alias("gram")), "ngram-open-grams")
-    counted = grams.join(grams.groupBy("gram").agg(F.count("*").alias("_df")), "gram")
-    nth = F.row_number().over(Window.partitionBy("node", "_which").orderBy("_df", "gram"))
-    head = F.col("_n") - F.floor((percent * F.col("_n") + 99) / 100) + 1
-    rare = materialize(counted.withColumn("_nth", nth).filter((F.col("_nth") <= head) & (F.col("_df") > 1)), "ngram-rare")
-    x = rare.select("gram", F.col("node").alias("a"), F.col("label").alias("_la"), F.col("_n").alias("_na"), F.col("_nth").alias("_ia"))
-    y = rare.select("gram", F.col("node").alias("b"), F.col("label").alias("_lb"), F.col("_n").alias("_nb"), F.col("_nth").alias("_ib"))
-    sizes = 100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")
-    # What may still be shared from the first shared n-gram on, in the common order, must reach the overlap bound.
-    reach = (100 + percent) * (F.least(F.col("_na") - F.col("_ia"), F.col("_nb") - F.col("_ib")) + 1) >= percent * (F.col("_na") + F.col("_nb"))
-    return x.join(y, "gram").filter("a < b and _la <> _lb").filter(sizes & reach).select("a", "b")
+    first = sets.select("node", F.explode(F.slice("entries", 1, BUCKETS)).alias("key"))
+    labels = components(found)
+    for take in (F.min, F.max):
+        buckets = _open(first, labels)
+        hubs = materialize(buckets.groupBy("key").agg(take(F.struct("node", "label")).alias("_hub")), "ngram-hubs")
+        pairs = buckets.join(hubs, "key").filter("label <> _hub.label")
+        pairs = materialize(pairs.select(F.least("node", "_hub.node").alias("a"), F.greatest("node", "_hub.node").alias("b")).distinct(), "ngram-hub-pairs")
+        found = found.unionByName(materialize(linked(pairs, sets, percent), "ngram-hub-links"))
+        labels = components(found)
+    # A column counts once for each component: what only one component holds comes first, and makes no pair.
+    own = F.coalesce("label", "node").alias("label")
+    grams = sets.join(labels, "node", "left").select("node", own, F.col("n_shingles").alias("n"), F.explode("entries").alias("gram"))
+    per_label = grams.groupBy("gram", "label").agg(F.lit(1).alias("_one"))
+    shared = materialize(per_label.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1"), "ngram-shared")
+    grams = materialize(grams.join(shared, "gram"), "ngram-dense-entries")
+    # Of a node's n-grams those that are not shared are first in the order.
+    alone = F.col("n") - F.count("*").over(Window.partitionBy("node"))
+    nth = alone + F.row_number().over(Window.partitionBy("node").orderBy("df", "gram"))
+    rare = materialize(grams.withColumn("nth", nth).filter(F.col("nth") <= _head(F.col("n"), percent)), "ngram-rare")
+    x, y = (rare.select("gram", F.col("node").alias(c), F.col("label").alias(f"l{c}"), F.col("n").alias(f"n{c}"), F.col("nth").alias(f"i{c}")) for c in "ab")
+    # What may still be shared from this n-gram on, in the common order, must reach the overlap.
+    reach = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) + 1 >= _least_overlap("na", "nb", percent)
+    pairs = x.join(y, "gram").filter("a < b and la <> lb").filter(_sizes("na", "nb", percent) & reach).select("a", "b").distinct()
+    return found.unionByName(materialize(linked(materialize(pairs, "ngram-rare-pairs"), sets, percent), "ngram-rare-links"))
+
+
+def jaccard_links(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) between ``nodes`` (node, doc_id, n, entries), enough of them to connect all that is linked."""
+    of_node = nodes.select("node", "doc_id")
+    entries = nodes.select("node", "n", F.posexplode("entries").alias("pos", "gram"))
+    counts = entries.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
+    shared = materialize(counts.select("gram", (F.col("df") > COMMON).alias("common")), "ngram-columns")
+    held = materialize(entries.join(shared, "gram"), "ngram-entries")
+    # Where the head of a node ends once its common n-grams are passed over: positions count from 0.
+    common = held.filter("common").groupBy("node").agg(F.first("n").alias("n"), F.array_sort(F.collect_list("pos")).alias("_at"))  # its own n-grams
+    passed = F.aggregate("_at", _head(F.col("n"), percent), lambda e, at: F.when(at < e, e + 1).otherwise(e))
+    ends = common.select("node", passed.alias("_end")).join(nodes.select("node", F.size("entries").alias("_written")), "node")
+    ends = materialize(ends.select("node", "_end", (F.col("_end") > F.col("_written")).alias("dense")), "ngram-ends")
+    heads = held.filter("not common").join(ends, "node", "left")
+    heads = heads.filter(F.col("pos") < F.coalesce("_end", _head(F.col("n"), percent))).select("gram", "node", "n", F.coalesce("dense", F.lit(False)).alias("dense"))
+    heads = materialize(heads, "ngram-heads")
+    light = heads.filter("not dense")
+    pairs = materialize(product(light, light, percent, True), "ngram-pairs")
+    release(held)
+    dense = _sets_of(ends.filter("dense").select("node"), of_node, docs, n, "ngram-dense")
+    # The whole head of a dense node: its n-grams that are not common, as far as they go.
+    columns = shared.filter("common").select("gram")
+    rest = dense.select("node", F.col("n_shingles").alias("n"), F.posexplode("entries").alias("pos", "gram")).join(columns, "gram", "left_anti")
+    nth = F.row_number().over(Window.partitionBy("node").orderBy("pos"))
+    rest = materialize(rest.withColumn("nth", nth).filter(F.col("nth") <= _head(F.col("n"), percent)).select("gram", "node", "n"), "ngram-dense-heads")
+    pairs = materialize(pairs.unionByName(product(rest, light, percent, False)), "ngram-all-pairs")
+    ends_of = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    others = _sets_of(ends_of.join(dense.select("node"), "node", "left_anti"), of_node, docs, n, "ngram-light")
+    found = materialize(linked(pairs, dense.unionByName(others), percent), "ngram-links")
+    return dense_links(dense, found, percent)
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles (size of its set), component_id of every row of ``docs``; sets of ``n``-word shingles that share at
     least ``percent`` of their union are linked, and component_id is the smallest doc_id that links reach.
 
-    Equal sets are one class, so copies never make pairs. In each bucket of equal blocks all members are compared with its
-    smallest member, then with its largest; what one component holds by then needs no more links, and members of different
-    components are compared if they share one of their rarest n-grams. So no link between components is lost, and near
-    copies cost rows in proportion to their number. Null and empty texts have an empty set and link with nothing. Null ids have a null component and
-    link nothing. Rows of one id are one document: a link of either is a link of it. An empty table gives an empty result;
-    other columns are ignored.
+    Equal sets are one node of the product, so copies never make pairs, and links that would join what is joined already
+    are not all looked for; no link between components is lost. Sets and n-grams are told apart by 64-bit hashes. Null and
+    empty texts have an empty set and link with nothing. Null ids have a null component and link nothing. Rows of one id
+    are one document: a link of either is a link of it. An empty table gives an empty result; other columns are ignored.
     """
     ship(docs.sparkSession)
-    table = materialize(sketches(docs, n, percent), "ngram-sketches")
-    live = table.filter("n_shingles > 0 and doc_id is not null")
-    classes = materialize(live.groupBy("class").agg(F.min("doc_id").alias("node")), "ngram-classes")
-    links = live.join(classes, "class").filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    nodes = live.join(classes, "class").filter("doc_id = node").dropDuplicates(["class"])
-    entries = nodes.select(F.explode("keys").alias("key"), "node")
-    ends = entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
-    buckets = materialize(entries.join(ends, "key"), "ngram-buckets")
-    found = None
-    labels = None
-    for end in ("first", "last", None):
-        if labels is None:
-            live_buckets = buckets.withColumn("label", F.col("node"))
-        else:
-            live_buckets = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            split = live_buckets.groupBy("key").agg(F.min("label").alias("_l"), F.max("label").alias("_h")).filter("_l < _h").select("key")
-            live_buckets = materialize(live_buckets.join(split, "key", "left_semi"), "ngram-open")
-            if live_buckets.isEmpty():
-                break
-        if end:
-            hub = live_buckets.select(F.col("node").alias(end), F.col("label").alias("_hub_label")).distinct() if labels is not None else None
-            pairs = live_buckets.filter(F.col("node") != F.col(end))
-            if hub is not None:
-                pairs = pairs.join(hub, end).filter("label <> _hub_label")
-            pairs = pairs.select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b"))
-        else:
-            pairs = _rare_pairs(live_buckets.select("node", "label").distinct(), docs, n, percent)
-        pairs = materialize(pairs.distinct(), "ngram-pairs")
-        new = materialize(_linked(pairs, docs, n, percent), "ngram-links")
-        found = new if found is None else found.unionByName(new)
-        labels = components(found)
-    # Copies hang on their class, classes on their component.
-    own = classes.join(labels.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
-    own = own.select("class", F.coalesce("label", "node").alias("component_id"))
-    out = table.join(own, "class", "left")
-    repeated = live.groupBy("doc_id").agg(F.count_distinct("class").alias("_classes")).filter("_classes > 1")
-    if not repeated.isEmpty():
-        labels = components(found.unionByName(links))
-        out = table.join(labels.select(F.col("node").alias("doc_id"), F.col("label").alias("component_id")), "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    wide = materialize(sketches(docs, n, percent), "ngram-sketches")
+    table = materialize(wide.select("doc_id", "n_shingles", "node"), "ngram-documents")
+    live = "n_shingles > 0 and doc_id is not null"
+    one = F.min_by(F.struct("doc_id", F.col("n_shingles").alias("n"), "entries"), "doc_id").alias("one")
+    nodes = materialize(wide.filter(live).groupBy("node").agg(one).select("node", "one.*"), "ngram-nodes")
+    release(wide)
+    live, of_node = table.filter(live), nodes.select("node", "doc_id")
+    links = jaccard_links(nodes, docs, n, percent)
+    # The texts of one id are linked: each with the one of the smallest node.
+    several = live.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("_most")).filter("a < _most").select("doc_id", "a")
+    own = live.select("doc_id", F.col("node").alias("b")).join(materialize(several, "ngram-several"), "doc_id").filter("a < b").select("a", "b")
+    labels = components(materialize(links.unionByName(own), "ngram-all-links"))
+    named = of_node.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc_id")
+    least = materialize(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "ngram-components")
+    named = materialize(named.join(least, "label").select("node", "component_id"), "ngram-named")
+    # Null ids and empty sets keep what they are.
+    node = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("node"))
+    out = table.select("doc_id", "n_shingles", node.alias("node")).join(named, "node", "left")
+    return out.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -15,33 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import BLANKS, LOWER, UPPER, materialize, ship
+from skyledger.llm.common import materialize, ship
+from skyledger.llm.words import end, folded, runs, step, with_words
 
 #: Words of a k-gram, k-grams of a window, words of the shortest passage.
 K, WINDOW, MIN_WORDS = 6, 16, 50
 #: A passage of MIN_WORDS words has a kept suffix with at least so many of its words, and at most REACH words on either side.
 SUFFIX, REACH = MIN_WORDS - WINDOW + 1, WINDOW - 1
-#: Words that are hashed at once.
-CHUNK = 500_000
-
-_MULT = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _step(x: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return (x ^ (x >> np.uint64(31))) * _MULT + h
-
-
-def _end(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * _MULT
-    return x ^ (x >> np.uint64(29))
-
-
-def _folded(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the n words from each position, still open for more."""
-    x = np.zeros(len(at), np.uint64)
-    for j in range(n):
-        x = _step(x, h[at + j])
-    return x
 
 
 def picks(h: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,7 +29,7 @@ def picks(h: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     m = len(h) - MIN_WORDS + 1
     if m <= 0:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    g = _end(_folded(h, np.arange(m + WINDOW - 1), K))
+    g = end(folded(h, np.arange(m + WINDOW - 1), K))
     least, first = g[:m].copy(), np.arange(m)
     for j in range(1, WINDOW):
         less = np.flatnonzero(g[j : j + m] < least)
@@ -58,45 +38,27 @@ def picks(h: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, first[starts]
 
 
-def _words(docs: DataFrame, *more: str) -> DataFrame:
-    """doc_id, _text (which text of the document it is), _h (hashes of its words)."""
-    text = F.translate(F.coalesce(F.col("text"), F.lit("")), BLANKS + UPPER, " " * len(BLANKS) + LOWER)
-    words = docs.select("doc_id", "_text", *more, F.array_remove(F.split(text, " "), "").alias("_w"))
-    return words.select("doc_id", "_text", *more, F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"))
-
-
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First row, ends of the rows (from 0) and hashes of all words of runs of rows of about CHUNK words."""
-    col = batch.column("_h")
-    flat, ends = col.values.to_numpy(zero_copy_only=False).view(np.uint64), col.offsets.to_numpy().astype(np.int64)
-    a = 0
-    while a < len(ends) - 1:
-        b = max(a + 1, int(np.searchsorted(ends, ends[a] + CHUNK, "right")) - 1)
-        yield a, ends[a : b + 1] - ends[a], flat[ends[a] : ends[b]]
-        a = b
-
-
 def suffixes(texts: DataFrame) -> DataFrame:
     """Kept suffixes: hash of the first SUFFIX words, hash of these with up to REACH words before and after them."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, which = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "_text"))
-            for a, ends, h in _runs(batch):
+            for a, ends, h in runs(batch):
                 row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
                 at = np.unique(picks(h, ends[row + 1])[1])
                 start, stop = ends[row[at]], ends[row[at] + 1]
                 before, after = np.minimum(at - start, REACH), np.minimum(stop - at - SUFFIX, REACH)
-                x = _folded(h, at, SUFFIX)
-                prefix = _end(x)
-                x = _step(x, (before * WINDOW + after).astype(np.uint64))
-                for first, step, n in ((at + SUFFIX, 1, after), (at - 1, -1, before)):
+                x = folded(h, at, SUFFIX)
+                prefix = end(x)
+                x = step(x, (before * WINDOW + after).astype(np.uint64))
+                for first, way, n in ((at + SUFFIX, 1, after), (at - 1, -1, before)):
                     for j in range(REACH):
-                        x = np.where(j < n, _step(x, h[np.clip(first + step * j, 0, len(h) - 1)]), x)
-                cols = (ids[a + row[at]], which[a + row[at]], at - start, before.astype(np.int8), after.astype(np.int8), prefix.view(np.int64), _end(x).view(np.int64))
+                        x = np.where(j < n, step(x, h[np.clip(first + way * j, 0, len(h) - 1)]), x)
+                cols = (ids[a + row[at]], which[a + row[at]], at - start, before.astype(np.int8), after.astype(np.int8), prefix.view(np.int64), end(x).view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc_id", "_text", "at", "before", "after", "prefix", "around"])
 
-    return _words(texts).mapInArrow(rows, "doc_id long, _text long, at long, before byte, after byte, prefix long, around long")
+    return with_words(texts, "doc_id", "_text").mapInArrow(rows, "doc_id long, _text long, at long, before byte, after byte, prefix long, around long")
 
 
 def passages(texts: DataFrame, mixed: DataFrame) -> DataFrame:
@@ -106,18 +68,18 @@ def passages(texts: DataFrame, mixed: DataFrame) -> DataFrame:
         for batch in batches:
             ids, col = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("_at")
             cuts, ats = col.offsets.to_numpy(), col.values.to_numpy(zero_copy_only=False)
-            for a, ends, h in _runs(batch):
+            for a, ends, h in runs(batch):
                 row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
                 marked = np.zeros(len(h), bool)
                 for r in range(len(ends) - 1):
                     marked[ends[r] + ats[cuts[a + r] : cuts[a + r + 1]]] = True
                 starts, at = picks(h, ends[row + 1])
                 s = starts[marked[at]]
-                cols = (ids[a + row[s]], s - ends[row[s]], _end(_folded(h, s, MIN_WORDS)).view(np.int64))
+                cols = (ids[a + row[s]], s - ends[row[s]], end(folded(h, s, MIN_WORDS)).view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "start", "passage"])
 
     at = mixed.groupBy("doc_id", "_text").agg(F.collect_set("at").alias("_at"))
-    return _words(texts.distinct().join(at, ["doc_id", "_text"]), "_at").mapInArrow(rows, "doc_id long, start long, passage long")
+    return with_words(texts.distinct().join(at, ["doc_id", "_text"]), "doc_id", "_text", "_at").mapInArrow(rows, "doc_id long, start long, passage long")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:

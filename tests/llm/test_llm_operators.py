@@ -27,8 +27,10 @@ def _sets(rows, n):
     return out
 
 
-@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
-def test_components_by_brute_force(spark, docs, n, percent):
+@pytest.mark.parametrize(("n", "percent", "common"), [(3, 90, 50), (5, 80, 50), (3, 90, 1), (5, 80, 2), (2, 70, 3)])
+def test_components_by_brute_force(spark, docs, monkeypatch, n, percent, common):
+    # With a low bound most linked documents take the way of those made of common n-grams.
+    monkeypatch.setattr(ngram_join, "COMMON", common)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     # One group whose members link only in a chain, and one whose members are all just too far apart.
     base = [f"w{k}" for k in range(200)]

@@ -1,8 +1,9 @@
 """Secret scans with one deterministic automaton for all rules.
 
-Rule patterns (a small regular language: literals, classes, groups, alternation, ``? * + {n,}``) become one automaton by
-subset construction, which is minimised. Texts are read once, byte by byte; only lines in which the automaton has accepted
-are read again by its anchored form, for where the matches lie. No rule crosses a line.
+Rule patterns (a small regular language: literals, classes, groups, alternation, ``? * + {n} {n,}``) become automata by
+subset construction, which are minimised, multiplied into one, and minimised again: one table of states by byte classes.
+Texts are read once, byte by byte, whatever the rules. The few moves that begin, confirm or end a match carry marks, so
+that the pass itself gives where matches lie, and its time is in proportion to the text. No rule crosses a line.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,26 +22,26 @@ from skyledger.llm.common import ship
 
 @dataclass(frozen=True)
 class Rule:
-    """``least``: fewest characters of the match, or of its value where ``value`` says where that starts. ``probe``: what the
-    one pass looks for instead, where the pattern's own counts would make too many states; every match begins with it."""
+    """``head`` is the part of a match whose length is bounded, ``tail`` what follows. ``least``: fewest characters of the
+    match, or with ``value`` of what follows from the first character that completes it."""
 
     kind: str
-    pattern: str
+    head: str
+    tail: str
     fold: bool = False
     least: int = 0
-    value: str | None = None
-    probe: str | None = None
+    value: bool = False
 
 
-#: The first three are the base kinds, in their order. Repetition counts that only the automaton needs are in the patterns.
+#: The first three are the base kinds, in their order.
 RULES = (
-    Rule("assign", r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]+", True, 6, r"[A-Za-z_]+[\"']?\x20*[:=]\x20*[\"']?"),
-    Rule("access", r"AKIA[A-Z0-9]{16,}", probe=r"AKIA[A-Z0-9]"),
-    Rule("hex", r"[0-9a-f]{24,}"),
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", probe=r"gh[pousr]_"),
-    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", probe=r"xox[abprs]-"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", probe=r"eyJ[A-Za-z0-9_-]"),
-    Rule("private_key", r"-----BEGIN\x20[A-Z\x20]*PRIVATE\x20KEY-----", probe=r"-----BEGIN\x20"),
+    Rule("assign", r"(password|passwd|secret|token|api_?key)", r"[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]+", True, 6, True),
+    Rule("access", r"AKIA", r"[A-Z0-9]+", least=20),
+    Rule("hex", r"[0-9a-f]{24}", r"[0-9a-f]*"),
+    Rule("github", r"gh[pousr]_", r"[A-Za-z0-9]+", least=40),
+    Rule("slack", r"xox[abprs]-", r"[A-Za-z0-9-]+", least=15),
+    Rule("jwt", r"eyJ", r"[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", least=30),
+    Rule("private_key", r"-----BEGIN\x20", r"[A-Z\x20]*PRIVATE\x20KEY-----"),
 )
 BASE = ("assign", "access", "hex")
 
@@ -98,7 +100,7 @@ class _Builder:
         return frozenset(seen)
 
 
-_TOKEN = re.compile(r"\\x[0-9a-fA-F]{2}|\\.|\[(?:\\.|[^\]])+\]|\{\d+,\}|[()|?*+]|.", re.S)
+_TOKEN = re.compile(r"\\x[0-9a-fA-F]{2}|\\.|\[(?:\\.|[^\]])+\]|\{\d+,?\}|[()|?*+]|.", re.S)
 
 
 def _byte(token: str) -> int:
@@ -133,129 +135,181 @@ def _parse(tokens: list[str]) -> tuple:
             seq.append(("set", _class(t[1:-1])))
         elif t in "?*+" or (t[0] == "{" and len(t) > 1):
             least = {"?": 0, "*": 0, "+": 1}.get(t)
-            least = int(t[1:-2]) if least is None else least
-            seq[-1] = ("rep", seq[-1], least, 1 if t == "?" else None)
+            least = int(t.strip("{,}")) if least is None else least
+            seq[-1] = ("rep", seq[-1], least, 1 if t == "?" else None if t[-2:-1] == "," or len(t) == 1 else least)
         else:
             seq.append(("set", {_byte(t)}))
     return ("alt", [*options, ("seq", seq)]) if options else ("seq", seq)
 
 
+#: Marks of a move: a match may have begun (with how many bytes it has), it is complete, it has ended before this byte.
+SAVE, HIT, END = "save", "hit", "end"
+#: One thread of a rule: its nondeterministic states; bytes since its start while these are known, else the register that
+#: holds the start; whether it is complete.
+Thread = tuple[frozenset, int, int, bool]
+
+
+class _Component:
+    """The automaton of one rule. A state is the threads of all starts that may still match, the earliest first.
+
+    Once the earliest is complete, the others overlap it and go. A thread is left out of the states that earlier ones have.
+    """
+
+    def __init__(self, rule: Rule) -> None:
+        self.rule, self.nfa = rule, _Builder()
+        start = self.nfa.state()
+        head = self.nfa.piece(_parse(_TOKEN.findall(rule.head)), start, rule.fold)
+        first_of_tail = len(self.nfa.step)
+        entry = self.nfa.state()
+        self.nfa.free[head].append(entry)
+        self.final = self.nfa.piece(_parse(_TOKEN.findall(rule.tail)), entry, rule.fold)
+        self.tail = frozenset(range(first_of_tail, len(self.nfa.step)))
+        self.start = self.nfa.closure({start})
+
+    def sets(self) -> set[frozenset]:
+        return {s[0] for s in self.nfa.step if s}
+
+    def _step(self, states: frozenset, byte: int) -> frozenset:
+        return self.nfa.closure({s[1] for x in states if (s := self.nfa.step[x]) and byte in s[0]})
+
+    def _move(self, threads: tuple[Thread, ...], byte: int) -> tuple[tuple[Thread, ...], tuple]:
+        marks, out, seen = [], [], set()
+        for states, depth, register, complete in (*threads, (self.start, 0, -1, False)):
+            new = self._step(states, byte) if byte >= 0 else frozenset()
+            if complete:
+                if new and self.final not in new:
+                    raise ValueError(f"{self.rule.kind}: a match must stay complete until it ends")
+                if new:
+                    return ((new, -1, register, True),), ()
+                marks.append((END,))
+            elif new := new - seen:
+                seen |= new
+                out.append((new, depth + 1 if depth >= 0 else -1, register, False))
+        used = {r for _, _, r, _ in out}
+        for i, (states, depth, register, _) in enumerate(out):
+            if depth >= 0 and states & self.tail:
+                register = next(r for r in range(len(out) + 1) if r not in used)
+                used.add(register)
+                marks.append((SAVE, register, depth))
+                out[i] = (states, -1, register, False)
+            if self.final in states:
+                if i:
+                    raise ValueError(f"{self.rule.kind}: a later start must not be complete before an earlier one")
+                marks.append((HIT, register))
+                return ((states, -1, register, True),), tuple(marks)
+        return tuple(out), tuple(marks)
+
+    def table(self, samples: list[int]) -> tuple[list[list[int]], list[list[tuple]]]:
+        """Next state and marks by state and byte class (a byte of each; -1: the text ends)."""
+        index: dict[tuple, int] = {(): 0}
+        todo, rows, marks = [()], [], []
+        for threads in todo:  # subset construction; ``todo`` grows
+            moves = [self._move(threads, b) for b in samples]
+            for target, _ in moves:
+                if target not in index:
+                    index[target] = len(index)
+                    todo.append(target)
+            rows.append([index[t] for t, _ in moves])
+            marks.append([m for _, m in moves])
+        return minimised(rows, marks)
+
+
+def minimised(rows: list[list[int]], marks: list[list[tuple]]) -> tuple[list[list[int]], list[list[tuple]]]:
+    """States that behave alike as one (partition refinement); the first state stays the first."""
+    names: dict[tuple, int] = {}
+    output = np.array([[names.setdefault(m, len(names)) for m in row] for row in marks])
+    moves, part = np.array(rows), np.zeros(len(rows), dtype=np.int64)
+    while True:
+        _, new = np.unique(np.hstack([output, part[moves], part[:, None]]), axis=0, return_inverse=True)
+        new = new.reshape(-1)
+        if new.max() == part.max():
+            break
+        part = new
+    first = np.unique(part, return_index=True)[1]
+    order = np.argsort(first)  # in order of first appearance
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    return place[part[moves[first[order]]]].tolist(), [marks[i] for i in first[order].tolist()]
+
+
 class Automaton:
-    """``rows[s][b]``: next state; ``accepts[s]``: rules that end at s; state 0 starts. Anchored: a state ``dead`` ends a walk;
-    unanchored: a match may start anywhere, and the first accepting state is never left."""
-
-    def __init__(self, rules: tuple[Rule, ...], anchored: bool) -> None:
-        nfa = _Builder()
-        start, ends = nfa.state(), {}
-        for k, rule in enumerate(rules):
-            entry = nfa.state()
-            nfa.free[start].append(entry)
-            ends[nfa.piece(_parse(_TOKEN.findall(rule.pattern if anchored else rule.probe or rule.pattern)), entry, rule.fold)] = k
-        first = nfa.closure({start})
-        index, table, accepts, todo = {first: 0}, [], [], [first]
-        for states in todo:  # subset construction; ``todo`` grows
-            hits = frozenset(ends[s] for s in states if s in ends)
-            accepts.append(hits)
-            if hits and not anchored:
-                table.append([len(accepts) - 1] * 256)
-                continue
-            moves: list[set[int]] = [set() for _ in range(256)]
-            for s in states:
-                if nfa.step[s]:
-                    for b in nfa.step[s][0]:
-                        moves[b].add(nfa.step[s][1])
-            known: dict[frozenset, int] = {}
-            row = []
-            for b in range(256):
-                raw = frozenset(moves[b])
-                if raw not in known:
-                    target = nfa.closure(set(raw) | (set() if anchored else {start}))
-                    if target not in index:
-                        index[target] = len(index)
-                        todo.append(target)
-                    known[raw] = index[target]
-                row.append(known[raw])
-            table.append(row)
-        self._minimise(table, accepts if anchored else [frozenset([0]) if a else a for a in accepts])
-        self.dead = next((s for s, row in enumerate(self.rows) if not self.accepts[s] and set(row) == {s}), -1)
-
-    def _minimise(self, table: list[list[int]], accepts: list[frozenset]) -> None:
-        """Moore's partition refinement."""
-        names = {a: i for i, a in enumerate(dict.fromkeys(accepts))}
-        part = [names[a] for a in accepts]
-        while True:
-            keys: dict[tuple, int] = {}
-            new = [keys.setdefault((part[s], *[part[t] for t in row]), len(keys)) for s, row in enumerate(table)]
-            if len(keys) == len(set(part)):
-                break
-            part = new
-        self.rows: list = [None] * len(keys)
-        self.accepts: list = [None] * len(keys)
-        for s, row in enumerate(table):  # the start is seen first and stays 0
-            self.rows[new[s]], self.accepts[new[s]] = [new[t] for t in row], accepts[s]
+    """All rules as one table: ``classes`` (class of each byte), ``rows[state][class]`` the next state, ``marks`` the moves
+    that have any: (state, class) to a list of (rule, mark...). The last class is the end of the text; state 0 starts."""
+
+    def __init__(self, rules: tuple[Rule, ...] = RULES) -> None:
+        parts = [_Component(r) for r in rules]
+        letters = [s for p in parts for s in p.sets()]
+        kinds: dict[tuple, int] = {}
+        self.classes = bytes(kinds.setdefault(tuple(b in s for s in letters), len(kinds)) for b in range(256))
+        tables = [p.table([*(self.classes.index(c) for c in range(len(kinds))), -1]) for p in parts]
+        start = (0,) * len(parts)
+        index, todo, rows, marks = {start: 0}, [start], [], []
+        for states in todo:  # the product of the rules' automata, as far as it can be reached; ``todo`` grows
+            targets = list(zip(*(t[0][s] for t, s in zip(tables, states, strict=True)), strict=True))
+            for target in targets:
+                if target not in index:
+                    index[target] = len(index)
+                    todo.append(target)
+            rows.append([index[t] for t in targets])
+            found = zip(*(t[1][s] for t, s in zip(tables, states, strict=True)), strict=True)
+            marks.append([tuple((k, *m) for k, ms in enumerate(move) for m in ms) for move in found])
+        self.rows, marks = minimised(rows, marks)
+        self.marks = {(s, c): m for s, row in enumerate(marks) for c, m in enumerate(row) if m}
+        self.end = len(kinds)
 
 
 class Scanner:
     """Spans of all rules in a text."""
 
-    def __init__(self, rules: tuple[Rule, ...] = RULES) -> None:
-        self.rules = rules
-        self.walk = Automaton(rules, True)
-        free = Automaton(rules, False)
-        # The rows refer to one another, so that a byte costs one look-up.
-        rows: list[list] = [[None] * 256 for _ in free.rows]
-        for row, ids in zip(rows, free.rows, strict=True):
-            row[:] = [rows[t] for t in ids]
-        self.start = rows[0]
-        self.hit = next((r for r, a in zip(rows, free.accepts, strict=True) if a), None)
-        self.values = [re.compile(r.value.encode(), re.I if r.fold else 0) if r.value else None for r in rules]
-        first = self.walk.rows[0]
-        self.starts = re.compile(b"[" + b"".join(re.escape(bytes([b])) for b in range(256) if first[b] != self.walk.dead) + b"]")
-
-    def _line(self, line: bytes) -> list[tuple[int, int, int]]:
-        """(start, end, rule), leftmost longest and without overlap for each rule, in bytes."""
-        rows, accepts, dead = self.walk.rows, self.walk.accepts, self.walk.dead
-        free_from = [0] * len(self.rules)
-        out = []
-        for m in self.starts.finditer(line):
-            state, at, last = 0, m.start(), {}
-            if min(free_from) > at:
-                continue
-            for i in range(at, len(line)):
-                state = rows[state][line[i]]
-                if state == dead:
+    def __init__(self, rules: tuple[Rule, ...] = RULES, automaton: Automaton | None = None) -> None:
+        self.rules, self.automaton = rules, automaton or Automaton(rules)
+        # The rows refer to one another, so that a byte costs one look-up; moves with marks are None there.
+        rows: list[list] = [[] for _ in self.automaton.rows]
+        for s, (row, ids) in enumerate(zip(rows, self.automaton.rows, strict=True)):
+            row[:] = [None if (s, c) in self.automaton.marks else rows[t] for c, t in enumerate(ids)]
+            row.append(s)
+        self.rows = rows
+
+    def _found(self, data: bytes) -> list[tuple[int, int, int]]:
+        """(start, rule, end), leftmost longest and without overlap for each rule, in bytes."""
+        rows, end, marks, rules = self.rows, self.automaton.end, self.automaton.marks, self.rules
+        symbols = data.translate(self.automaton.classes) + bytes([end])
+        each, n = iter(symbols), len(symbols)
+        saved: dict[tuple[int, int], int] = {}
+        start, value = [0] * len(rules), [0] * len(rules)
+        row, out = rows[0], []
+        while True:
+            for b in each:
+                last = row
+                row = row[b]
+                if row is None:
                     break
-                for k in accepts[state]:
-                    last[k] = i + 1
-            for k, end in last.items():
-                if free_from[k] <= at:
-                    free_from[k] = end
-                    value = self.values[k].match(line, at, end).end() if self.values[k] else at
-                    if end - value >= self.rules[k].least:
-                        out.append((at, end, k))
-        return out
+            else:
+                return out
+            at, state = n - each.__length_hint__() - 1, last[-1]
+            for k, mark, *more in marks[state, b]:
+                if mark == SAVE:
+                    saved[k, more[0]] = at + 1 - more[1]
+                elif mark == HIT:
+                    start[k], value[k] = saved[k, more[0]], at
+                elif at - (value[k] if rules[k].value else start[k]) >= rules[k].least:
+                    out.append((start[k], k, at))
+            row = rows[self.automaton.rows[state][b]]
 
     def spans(self, text: str | None) -> list[tuple[str, int, int]]:
         """(kind, start, end) in code points, by start and then kind as listed."""
         if not text:
             return []
         data = text.encode("utf-8", "surrogatepass")
-        row, hit = self.start, self.hit
-        for b in data:
-            row = row[b]
-        if row is not hit:
-            return []
-        out, chars = [], 0
-        for line in data.split(b"\n"):
-            row = self.start
-            for b in line:
-                row = row[b]
-            plain = line.isascii()
-            if row is hit:
-                at = (lambda i: i) if plain else (lambda i, s=line: len(s[:i].decode("utf-8", "surrogatepass")))
-                out += [(chars + at(a), k, chars + at(e)) for a, e, k in self._line(line)]
-            chars += 1 + (len(line) if plain else len(line.decode("utf-8", "surrogatepass")))
-        return [(self.rules[k].kind, a, e) for a, k, e in sorted(out)]
+        found = sorted(self._found(data))
+        if len(data) > len(text):
+            # Code points before each place, counted once from place to place.
+            chars, done, places = 0, 0, {}
+            for x in sorted({x for a, _, e in found for x in (a, e)}):
+                chars += len(data[done:x].decode("utf-8", "surrogatepass"))
+                places[x], done = chars, x
+            found = [(places[a], k, places[e]) for a, k, e in found]
+        return [(self.rules[k].kind, a, e) for a, k, e in found]
 
 
 _scanners: dict[tuple, Scanner] = {}
@@ -272,8 +326,10 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     schema = "doc_id long, spans array<struct<kind: string, start: long, end: long>>"
     spans_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
+    automaton = Automaton(rules)
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = _scanners.get(rules) or _scanners.setdefault(rules, Scanner(rules))
+        scanner = _scanners.get(rules) or _scanners.setdefault(rules, Scanner(rules, automaton))
         for batch in batches:
             found = [[{"kind": k, "start": a, "end": e} for k, a, e in scanner.spans(t.as_py())] for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, spans_type)], names=["doc_id", "spans"])

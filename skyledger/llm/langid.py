@@ -1,32 +1,61 @@
-"""Language identification by rank-order profiles of frequent letter n-grams and out-of-place distance."""
+"""Language identification by rank-order profiles of frequent letter n-grams and out-of-place distance.
+
+N-grams are of one to three letters of a word that is padded by a space at both ends. Each is one 63-bit number, its code
+points at 21 bits each, whose order is that of the letters; so texts are counted, ranked and compared in numpy.
+"""
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import unicodedata
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import materialize, ship
 
-#: Letters in an n-gram at most (words are padded by a space at both ends), and n-grams of a profile.
-MAX_N, PROFILE = 3, 400
-#: Words that a worker remembers or counts at once, which bounds its memory.
-CACHE_WORDS = 200_000
-#: Languages a model may have: it is broadcast.
-MAX_LANGS = 2000
+#: N-grams of a profile.
+PROFILE = 400
+#: Letters that are counted at once, and rows of counts that a worker holds, which bounds its memory.
+CHUNK, HELD = 1 << 20, 1 << 21
+#: Languages whose profiles are broadcast at once; more are compared in turn.
+LANGS = 2000
 
-_WORD = re.compile(r"[^\W\d_]+")
 _NO_LETTERS = "und"
+_SPACE = 32
+
+
+@lru_cache(1)
+def _letters() -> np.ndarray:
+    """Of each code point, whether it is a letter (Unicode category L)."""
+    return np.array([unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)])
 
 
-def _grams(word: str) -> list[str]:
-    w = f" {word} "
-    return [g for n in range(1, MAX_N + 1) for i in range(len(w) - n + 1) if (g := w[i : i + n]) != " "]
+def _merged(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(grams, kind="stable")
+    grams, counts = grams[order], counts[order]
+    first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
+    return grams[first], np.add.reduceat(counts, first)
+
+
+def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams of a text in ascending order, and how often each occurs."""
+    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+    letter = _letters()[points]
+    points[~letter] = _SPACE
+    found = []
+    at = np.flatnonzero(letter)
+    for a in range(0, len(at), CHUNK):
+        i = at[a : a + CHUNK]
+        before, own, after = points[i - 1] << 42, points[i], points[i + 1]
+        last = own[~letter[i + 1]] << 42 | _SPACE << 21
+        found.append(np.unique(np.concatenate([own << 42, before | own << 21, last, before | own << 21 | after]), return_counts=True))
+    if len(found) == 1:
+        return found[0]
+    return _merged(*(np.concatenate(x) for x in zip(*found, strict=True))) if found else (np.empty(0, np.int64),) * 2
 
 
 def in_training(doc_id: Column) -> Column:
@@ -38,25 +67,27 @@ def profiles(docs: DataFrame) -> DataFrame:
     """lang, gram, rank (from 0) of the PROFILE most frequent n-grams of each language, over all texts with one."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, Counter] = {}
+        held: dict[str, list] = {}
+        rows = 0
 
-        def flush() -> pa.RecordBatch:
-            rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.items()]
-            counts.clear()
-            cols = list(zip(*rows, strict=True)) or [(), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], names=["lang", "word", "n"])
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, parts in held.items():
+                grams, counts = _merged(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(counts, pa.int64())], names=["lang", "gram", "n"])
+            held.clear()
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-                counts.setdefault(lang, Counter()).update(_WORD.findall((text.as_py() or "").lower()))
-                if sum(map(len, counts.values())) > CACHE_WORDS:
-                    yield flush()
-        yield flush()
-
-    words = docs.select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    padded = words.select("lang", "n", F.concat(F.lit(" "), F.col("word"), F.lit(" ")).alias("w"))
-    each = F.expr(f"flatten(transform(sequence(1, {MAX_N}), n -> transform(sequence(1, greatest(1, length(w) - n + 1)), i -> substring(w, i, n))))")
-    grams = padded.select("lang", "n", F.explode(each).alias("gram")).filter("gram <> ' '").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+                counted = gram_counts(text.as_py() or "")
+                if len(counted[0]):
+                    held.setdefault(lang, []).append(counted)
+                    rows += len(counted[0])
+                if rows > HELD:
+                    yield from flush()
+                    rows = 0
+        yield from flush()
+
+    grams = docs.select("lang", "text").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = [F.desc("n"), F.asc("gram")]
     # First within 64 parts of a language, then over what is left: no task holds all n-grams of one language.
     part = Window.partitionBy("lang", F.pmod(F.xxhash64("gram"), F.lit(64))).orderBy(*order)
@@ -64,51 +95,71 @@ def profiles(docs: DataFrame) -> DataFrame:
     return few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)) - 1).filter(F.col("rank") < PROFILE).select("lang", "gram", "rank")
 
 
+class Profiles:
+    """Profiles of languages: of each n-gram the languages that have it, with its rank there."""
+
+    def __init__(self, rows: list[tuple[str, int, int]]) -> None:
+        self.langs = sorted({r[0] for r in rows})
+        number = {lang: i for i, lang in enumerate(self.langs)}
+        rows = sorted((gram, number[lang], rank) for lang, gram, rank in rows)
+        grams = np.array([r[0] for r in rows], dtype=np.int64)
+        self.lang, self.rank = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+        self.grams, self.first = np.unique(grams, return_index=True)
+        self.first = np.append(self.first, len(rows))
+
+    def nearest(self, own: np.ndarray) -> tuple[str, float]:
+        """The language of the smallest distance (ties: the first by name) for n-grams in the order of their rank, and its score.
+
+        An n-gram is as many places out as its ranks differ, PROFILE where the language does not have it.
+        """
+        place = np.searchsorted(self.grams, own)
+        place[place == len(self.grams)] = 0
+        rank = np.flatnonzero(self.grams[place] == own)
+        start, n = self.first[place[rank]], self.first[place[rank] + 1] - self.first[place[rank]]
+        each = np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
+        near = PROFILE - np.abs(np.repeat(rank, n) - self.rank[each])
+        total = np.bincount(self.lang[each], weights=near, minlength=len(self.langs))
+        best = int(total.argmax())
+        return self.langs[best], float(total[best]) / (PROFILE * len(own))
+
+
 def identify(docs: DataFrame, model: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) with lang_pred and score (0 to 1, one less the share of the largest distance).
 
-    Each n-gram of the document's own PROFILE most frequent ones is as many places out as its rank differs from that in the
-    language's profile, PROFILE where it is not there. Ties go to the first language by name. Null texts, texts without a
-    letter and an empty model give "und" and 0. Repeated rows and null ids are rows like any other.
+    The document's own PROFILE most frequent n-grams are compared with those of each language; ties go to the first
+    language by name. Null texts, texts without a letter and an empty model give "und" and 0. Repeated rows and null ids
+    are rows like any other.
     """
     ship(docs.sparkSession)
-    langs = model.select("lang").distinct().limit(MAX_LANGS + 1).count()
-    if langs > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    ranks: dict[str, dict[str, int]] = {}
-    for lang, gram, rank in model.collect():  # at most MAX_LANGS * PROFILE rows
-        ranks.setdefault(lang, {})[gram] = rank
-    shared = docs.sparkSession.sparkContext.broadcast(dict(sorted(ranks.items())))
-
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[str]] = {}
-        table = shared.value
-
-        def grams(word: str) -> list[str]:
-            if len(word) > 40:
-                return _grams(word)
-            if word not in known:
-                if len(known) >= CACHE_WORDS:
-                    known.clear()
-                known[word] = _grams(word)
-            return known[word]
-
-        for batch in batches:
-            best, scores = [], []
-            for text in batch.column("text"):
-                counts = Counter(chain.from_iterable(map(grams, _WORD.findall((text.as_py() or "").lower()))))
-                own = [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:PROFILE]]
-                if not own or not table:
-                    best.append(_NO_LETTERS)
-                    scores.append(0.0)
-                    continue
-                far = {lang: sum(abs(i - p[g]) if g in p else PROFILE for i, g in enumerate(own)) for lang, p in table.items()}
-                lang = min(far, key=far.get)
-                best.append(lang)
-                scores.append(1 - far[lang] / (PROFILE * len(own)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(best, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(predict, "doc_id long, lang_pred string, score double")
+    context = docs.sparkSession.sparkContext
+
+    def compared(df: DataFrame, rows: list, last: bool) -> DataFrame:
+        shared = context.broadcast(rows)
+
+        def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = Profiles(shared.value)
+            for batch in batches:
+                best, scores = batch.column("lang_pred").to_pylist(), batch.column("score").to_pylist()
+                for i, text in enumerate(batch.column("text")):
+                    grams, counts = gram_counts(text.as_py() or "")
+                    if len(grams) and table.langs:
+                        lang, score = table.nearest(grams[np.argsort(-counts, kind="stable")[:PROFILE]])
+                        if best[i] == _NO_LETTERS or score > scores[i]:
+                            best[i], scores[i] = lang, score
+                out = [batch.column("doc_id"), pa.array(best, pa.string()), pa.array(scores, pa.float64())]
+                yield pa.RecordBatch.from_arrays(out + [batch.column("text")] * (not last), names=["doc_id", "lang_pred", "score"] + ["text"] * (not last))
+
+        return df.mapInArrow(predict, "doc_id long, lang_pred string, score double" + ", text string" * (not last))
+
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(_NO_LETTERS).alias("lang_pred"), F.lit(0.0).alias("score"))
+    after, done = F.lit(True), False
+    while not done:
+        langs = [r["lang"] for r in model.filter(after).select("lang").distinct().orderBy("lang").limit(LANGS + 1).collect()]
+        done = len(langs) <= LANGS
+        part = model.filter(after & (F.col("lang") <= langs[:LANGS][-1])).collect() if langs else []  # at most LANGS * PROFILE rows
+        out = compared(out, [tuple(r) for r in part], done)
+        after = F.col("lang") > langs[LANGS - 1] if not done else after
+    return out
 
 
 def train_and_identify(docs: DataFrame) -> DataFrame:

@@ -5,10 +5,10 @@ itself gives, for two documents, how many n-grams of the block both hold, and th
 
 Sizes bound what has to be multiplied. Sets that reach the similarity share an n-gram among the first |x| - least overlap + 1
 of each set in any order of all columns, so only these entries are multiplied, and a pair whose sum plus all that may follow
-stays under the overlap that both sizes ask for is discarded. The order is by hash, common columns last: no column of the
-product has more than COMMON entries. A document with too few other n-grams (a member of a large group of near copies, or
-one made of widely used text) is multiplied on its whole set, first against the others, then among its like, where links
-to one member of a bucket come first and columns are in exact order of their frequency.
+stays under the overlap that both sizes ask for is discarded. The order is by hash, common columns last, so that a column
+of the product makes at most COMMON pairs for each of its entries. Members of large groups of near copies are connected by
+comparison with one member first, and what is connected makes no pairs. A document with too few n-grams that are not common
+is multiplied on its whole set, first against the others, then among its like with columns in exact order of frequency.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from skyledger.llm.common import materialize, release, ship
 from skyledger.llm.components import components
 from skyledger.llm.words import end, folded, runs, step, with_words
 
-#: A column with more entries among those written is common and comes last in the order.
+#: Pairs of a column for each of its entries, from which it is common; with more entries it is looked at more closely.
 COMMON = 50
 #: First n-grams of a set that name its buckets among documents of common n-grams.
 BUCKETS = 4
@@ -91,13 +91,12 @@ def _least_overlap(a: str, b: str, percent: int) -> Column:
 
 
 def product(left: DataFrame, right: DataFrame, percent: int, same: bool) -> DataFrame:
-    """Pairs (a, b) of nodes whose shared entries, summed over all columns, still allow the similarity.
+    """Pairs (a, b) of nodes of different labels whose shared entries, summed over all columns, still allow the similarity.
 
-    Entries are gram, node, n (size of the set). With ``same``, both frames are one and each pair comes once.
+    Entries are gram, node, n (size of the set), label. With ``same``, both frames are one and each pair comes once.
     """
-    x = left.select("gram", F.col("node").alias("a"), F.col("n").alias("na"))
-    y = right.select("gram", F.col("node").alias("b"), F.col("n").alias("nb"))
-    pairs = x.join(y, "gram").filter(_sizes("na", "nb", percent) & ((F.col("a") < F.col("b")) if same else (F.col("a") != F.col("b"))))
+    x, y = (df.select("gram", F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("label").alias(f"l{c}")) for df, c in ((left, "a"), (right, "b")))
+    pairs = x.join(y, "gram").filter(_sizes("na", "nb", percent) & (F.col("la") != F.col("lb")) & ((F.col("a") < F.col("b")) if same else F.lit(True)))
     summed = pairs.groupBy("a", "b").agg(F.count("*").alias("both"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     rest = F.greatest(F.col("na") - _head(F.col("na"), percent), F.col("nb") - _head(F.col("nb"), percent))
     summed = summed.filter(F.col("both") + rest >= _least_overlap("na", "nb", percent))
@@ -130,32 +129,31 @@ def _sets_of(nodes: DataFrame, of_node: DataFrame, docs: DataFrame, n: int, name
     return materialize(found.select("node", "one.*"), name)
 
 
-def _open(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Bucket entries (key, node) with their label, of buckets that hold more than one."""
-    own = F.coalesce("label", "node") if labels is not None else F.col("node")
-    marked = (entries.join(labels, "node", "left") if labels is not None else entries).select("key", "node", own.alias("label"))
-    split = marked.groupBy("key").agg(F.min("label").alias("_l"), F.max("label").alias("_h")).filter("_l < _h").select("key")
-    return materialize(marked.join(materialize(split, "ngram-split"), "key", "left_semi"), "ngram-open")
+def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    return entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def dense_links(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Links among nodes with their whole sets; ``found`` are links already known. Links inside one component may be left out.
-
-    In each bucket of one of the BUCKETS first n-grams all members are compared with the smallest, then with the largest.
-    Then, of all pairs of different components, those that share an n-gram among the first of each, rarest first.
-    """
-    first = sets.select("node", F.explode(F.slice("entries", 1, BUCKETS)).alias("key"))
-    labels = components(found)
+def bucket_links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links of nodes with one member of each bucket: all members of one of the BUCKETS first n-grams are compared with the
+    smallest, then, where they are not connected yet, with the largest."""
+    keys = sets.select("node", F.explode(F.slice("entries", 1, BUCKETS)).alias("key"))
+    found, labels = None, None
     for take in (F.min, F.max):
-        buckets = _open(first, labels)
-        hubs = materialize(buckets.groupBy("key").agg(take(F.struct("node", "label")).alias("_hub")), "ngram-hubs")
-        pairs = buckets.join(hubs, "key").filter("label <> _hub.label")
-        pairs = materialize(pairs.select(F.least("node", "_hub.node").alias("a"), F.greatest("node", "_hub.node").alias("b")).distinct(), "ngram-hub-pairs")
-        found = found.unionByName(materialize(linked(pairs, sets, percent), "ngram-hub-links"))
+        marked = keys.withColumn("label", F.col("node")) if labels is None else _labelled(keys, labels)
+        hubs = marked.groupBy("key").agg(take(F.struct("node", "label")).alias("hub"), F.min("label").alias("_l"), F.max("label").alias("_h"))
+        hubs = materialize(hubs.filter("_l < _h").select("key", "hub"), "ngram-hubs")
+        pairs = marked.join(hubs, "key").filter("label <> hub.label")
+        pairs = materialize(pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct(), "ngram-hub-pairs")
+        new = materialize(linked(pairs, sets, percent), "ngram-hub-links")
+        found = new if found is None else found.unionByName(new)
         labels = components(found)
-    # A column counts once for each component: what only one component holds comes first, and makes no pair.
-    own = F.coalesce("label", "node").alias("label")
-    grams = sets.join(labels, "node", "left").select("node", own, F.col("n_shingles").alias("n"), F.explode("entries").alias("gram"))
+    return found
+
+
+def rare_links(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links among nodes of different labels with their whole sets: they share an n-gram among the first of each, rarest first."""
+    # A column counts once for each label: what only one label holds comes first, and makes no pair.
+    grams = _labelled(sets, labels).select("node", "label", F.col("n_shingles").alias("n"), F.explode("entries").alias("gram"))
     per_label = grams.groupBy("gram", "label").agg(F.lit(1).alias("_one"))
     shared = materialize(per_label.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1"), "ngram-shared")
     grams = materialize(grams.join(shared, "gram"), "ngram-dense-entries")
@@ -167,38 +165,53 @@ def dense_links(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     # What may still be shared from this n-gram on, in the common order, must reach the overlap.
     reach = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) + 1 >= _least_overlap("na", "nb", percent)
     pairs = x.join(y, "gram").filter("a < b and la <> lb").filter(_sizes("na", "nb", percent) & reach).select("a", "b").distinct()
-    return found.unionByName(materialize(linked(materialize(pairs, "ngram-rare-pairs"), sets, percent), "ngram-rare-links"))
+    return materialize(linked(materialize(pairs, "ngram-rare-pairs"), sets, percent), "ngram-rare-links")
+
+
+def _ends(common: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Of nodes that have common entries (node, n, pos): where the head ends once these are passed over (positions count from
+    0), and whether the node is dense, that is, whether what is written of it ends first."""
+    at = common.groupBy("node").agg(F.first("n").alias("n"), F.array_sort(F.collect_list("pos")).alias("_at"))  # a node's own n-grams
+    passed = F.aggregate("_at", _head(F.col("n"), percent), lambda e, p: F.when(p < e, e + 1).otherwise(e))
+    ends = at.select("node", passed.alias("_end")).join(sizes, "node")
+    return ends.select("node", "_end", (F.col("_end") > F.col("_written")).alias("dense"))
 
 
 def jaccard_links(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) between ``nodes`` (node, doc_id, n, entries), enough of them to connect all that is linked."""
     of_node = nodes.select("node", "doc_id")
+    sizes = nodes.select("node", F.size("entries").alias("_written"))
     entries = nodes.select("node", "n", F.posexplode("entries").alias("pos", "gram"))
     counts = entries.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = materialize(counts.select("gram", (F.col("df") > COMMON).alias("common")), "ngram-columns")
+    shared = materialize(counts.select("gram", (F.col("df") > COMMON).alias("frequent")), "ngram-columns")
     held = materialize(entries.join(shared, "gram"), "ngram-entries")
-    # Where the head of a node ends once its common n-grams are passed over: positions count from 0.
-    common = held.filter("common").groupBy("node").agg(F.first("n").alias("n"), F.array_sort(F.collect_list("pos")).alias("_at"))  # its own n-grams
-    passed = F.aggregate("_at", _head(F.col("n"), percent), lambda e, at: F.when(at < e, e + 1).otherwise(e))
-    ends = common.select("node", passed.alias("_end")).join(nodes.select("node", F.size("entries").alias("_written")), "node")
-    ends = materialize(ends.select("node", "_end", (F.col("_end") > F.col("_written")).alias("dense")), "ngram-ends")
-    heads = held.filter("not common").join(ends, "node", "left")
+    # Members of large groups of near copies hold frequent n-grams; most are connected by comparison with one member.
+    dense = materialize(_ends(held.filter("frequent"), sizes, percent).filter("dense").select("node"), "ngram-frequent-nodes")
+    dense = _sets_of(dense, of_node, docs, n, "ngram-frequent-sets")
+    found = bucket_links(dense, percent)
+    labels = components(found)
+    # Columns by the pairs of different labels that they would make: common are those with more than COMMON for each entry.
+    frequent = _labelled(held.filter("frequent").select("gram", "node"), labels)
+    each = frequent.groupBy("gram", "label").agg(F.count("*").cast("double").alias("k"))
+    each = each.groupBy("gram").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
+    common = materialize(each.filter((F.col("k") * F.col("k") - F.col("kk")) / 2 > COMMON * F.col("k")).select("gram"), "ngram-common")
+    ends = _ends(held.filter("frequent").join(common, "gram"), sizes, percent)
+    ends = materialize(ends, "ngram-ends")
+    heads = held.join(common, "gram", "left_anti").join(ends, "node", "left")
     heads = heads.filter(F.col("pos") < F.coalesce("_end", _head(F.col("n"), percent))).select("gram", "node", "n", F.coalesce("dense", F.lit(False)).alias("dense"))
-    heads = materialize(heads, "ngram-heads")
-    light = heads.filter("not dense")
-    pairs = materialize(product(light, light, percent, True), "ngram-pairs")
+    light = materialize(_labelled(heads.filter("not dense").drop("dense"), labels), "ngram-heads")
     release(held)
-    dense = _sets_of(ends.filter("dense").select("node"), of_node, docs, n, "ngram-dense")
+    pairs = materialize(product(light, light, percent, True), "ngram-pairs")
+    dense = materialize(dense.join(ends.filter("dense").select("node"), "node", "left_semi"), "ngram-dense")
     # The whole head of a dense node: its n-grams that are not common, as far as they go.
-    columns = shared.filter("common").select("gram")
-    rest = dense.select("node", F.col("n_shingles").alias("n"), F.posexplode("entries").alias("pos", "gram")).join(columns, "gram", "left_anti")
+    rest = dense.select("node", F.col("n_shingles").alias("n"), F.posexplode("entries").alias("pos", "gram")).join(common, "gram", "left_anti")
     nth = F.row_number().over(Window.partitionBy("node").orderBy("pos"))
-    rest = materialize(rest.withColumn("nth", nth).filter(F.col("nth") <= _head(F.col("n"), percent)).select("gram", "node", "n"), "ngram-dense-heads")
+    rest = rest.withColumn("nth", nth).filter(F.col("nth") <= _head(F.col("n"), percent)).select("gram", "node", "n")
+    rest = materialize(_labelled(rest, labels), "ngram-dense-heads")
     pairs = materialize(pairs.unionByName(product(rest, light, percent, False)), "ngram-all-pairs")
-    ends_of = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    others = _sets_of(ends_of.join(dense.select("node"), "node", "left_anti"), of_node, docs, n, "ngram-light")
-    found = materialize(linked(pairs, dense.unionByName(others), percent), "ngram-links")
-    return dense_links(dense, found, percent)
+    used = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), of_node, docs, n, "ngram-sets")
+    found = found.unionByName(materialize(linked(pairs, used, percent), "ngram-links"))
+    return found.unionByName(rare_links(dense, components(found), percent))
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

@@ -7,7 +7,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: The white space of every word and line rule here.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -18,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def named(column: str) -> Column:
+    """A column by its exact name, whatever signs that has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 _shipped: set[str] = set()
 
 
@@ -35,9 +41,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; only where it is unset (tests) a local one."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Unset, a local one serves where all run in one
+    process (tests); on a cluster that is an error, since executors would write where others cannot read."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import BLANKS, LOWER, UPPER
+from skyledger.llm.common import BLANKS, LOWER, UPPER, materialize, named
 
 
 def _lines(text: Column) -> Column:
@@ -13,33 +13,36 @@ def _lines(text: Column) -> Column:
 
 
 def repeated_lines(lines: DataFrame, min_docs: int) -> DataFrame:
-    """_hash, _keep: keys that at least ``min_docs`` documents hold, with the largest id among them."""
+    """hash, keep: keys that at least ``min_docs`` documents hold, with the largest id among them."""
     # Two steps, both with partial aggregation: a line that a third of all documents hold is one row a task.
-    per_doc = lines.groupBy("_hash", "doc_id").agg(F.lit(1).alias("_one"))
-    per_line = per_doc.groupBy("_hash").agg(F.count("doc_id").alias("_docs"), F.max("doc_id").alias("_keep"))
-    return per_line.filter(F.col("_docs") >= min_docs).drop("_docs")
+    per_doc = lines.groupBy("hash", "doc_id").agg(F.lit(1).alias("one"))
+    per_line = per_doc.groupBy("hash").agg(F.count("doc_id").alias("n"), F.max("doc_id").alias("keep"))
+    return per_line.filter(F.col("n") >= min_docs).drop("n")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """``docs`` with its text less repeated lines, and n_lines (before), n_dropped; all other columns stay.
+    """``docs`` with its text less repeated lines, and n_lines (before), n_dropped, which replace columns of these names; all
+    other columns stay.
 
     A line's key is the line stripped of blanks with A-Z lower-cased. A key of at least ``min_chars`` code points in at
     least ``min_docs`` distinct ids stays only in the largest id. Null text is one empty line and stays null; a text that
     loses all lines becomes empty. Rows with a null id count as no document and never hold the copy that stays; repeated
-    rows are one document and are treated alike.
+    rows are one document and are treated alike. An empty table gives an empty result.
     """
-    key = F.trim(F.col("_line"), F.lit(BLANKS))
-    ids = docs.select("doc_id", "text", F.xxhash64("text").alias("_text_hash"))
-    lines = ids.select("doc_id", "_text_hash", F.posexplode(_lines(F.col("text"))).alias("_pos", "_line"))
-    lines = lines.filter(F.char_length("_line") >= min_chars).withColumn("_line", key).filter(F.char_length("_line") >= min_chars)
-    lines = lines.select("doc_id", "_text_hash", "_pos", F.unhex(F.md5(F.translate("_line", UPPER, LOWER).cast("binary"))).alias("_hash"))
-    hits = lines.join(repeated_lines(lines, min_docs), "_hash").filter(~F.col("doc_id").eqNullSafe(F.col("_keep")))
+    ids = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    lines = ids.select("doc_id", "text_hash", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
+    lines = lines.filter(F.char_length("line") >= min_chars).withColumn("line", F.trim(F.col("line"), F.lit(BLANKS))).filter(F.char_length("line") >= min_chars)
+    lines = lines.select("doc_id", "text_hash", "pos", F.unhex(F.md5(F.translate("line", UPPER, LOWER).cast("binary"))).alias("hash"))
+    # Written first, so that the join can split a line that a third of all documents hold.
+    repeated = materialize(repeated_lines(lines, min_docs), "line-repeated")
+    hits = lines.join(repeated, "hash").filter(~F.col("doc_id").eqNullSafe(F.col("keep")))
     # The positions of one document at most; equal rows give equal positions.
-    hits = hits.groupBy(F.col("doc_id").alias("__id"), F.col("_text_hash").alias("__th")).agg(F.collect_set("_pos").alias("__drop"))
-    out = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__th")), "left")
-    all_lines = _lines(F.col("text"))
-    out = out.withColumn("n_lines", F.size(all_lines).cast("long")).withColumn("n_dropped", F.coalesce(F.size("__drop"), F.lit(0)).cast("long"))
-    out = out.withColumn("__split", F.when(F.col("__drop").isNotNull(), all_lines))
-    kept = F.expr("array_join(transform(array_except(sequence(0, size(__split) - 1), __drop), i -> __split[i]), '\\n')")
-    out = out.withColumn("text", F.when(F.col("__drop").isNull(), F.col("text")).otherwise(kept))
-    return out.select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
+    hits = materialize(hits.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("drop")), "line-hits").alias("hit")
+    # Own columns stay in one struct meanwhile, so that their names meet no others.
+    whole = docs.select(F.struct(*[named(c) for c in docs.columns if c != "text"]).alias("whole"), "doc_id", "text").alias("doc")
+    same = F.col("doc.doc_id").eqNullSafe(F.col("hit.doc_id")) & (F.xxhash64("doc.text") == F.col("hit.text_hash"))
+    out = whole.join(hits, same, "left").select("whole", "text", "drop", _lines(F.col("text")).alias("lines"))
+    kept = F.expr("array_join(transform(array_except(sequence(0, size(lines) - 1), drop), i -> lines[i]), '\\n')")
+    text = F.when(F.col("drop").isNull(), F.col("text")).otherwise(kept)
+    columns = [text.alias("text") if c == "text" else F.col("whole")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return out.select(*columns, F.size("lines").cast("long").alias("n_lines"), F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"))

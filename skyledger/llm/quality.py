@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import BLANKS, materialize
+from skyledger.llm.common import BLANKS, materialize, named
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -53,38 +53,38 @@ def rules() -> dict[str, Column]:
     }
 
 
-def with_features(docs: DataFrame) -> DataFrame:
-    """Adds the five base features and those of the rules. Null text has no words; a line counts if it has a word."""
+def with_features(rows: DataFrame) -> DataFrame:
+    """The columns of ``rows`` (whole, text) less text, the five base features, base_failed and votes. Null text has no words;
+    a line counts if it has a word."""
     text = F.coalesce(F.col("text"), F.lit(""))
     gone = lambda chars: (F.char_length(text) - F.char_length(F.translate(text, chars, ""))).cast("long")
     upper = F.regexp_replace(text, r"[^\p{Lu}]+", "")
     letters = F.regexp_replace(text, r"[^\p{L}]+", "")
-    out = docs.withColumns({
-        "__words": F.array_remove(F.split(F.translate(text, BLANKS, " " * len(BLANKS)), " "), ""),
-        "__lines": F.filter(F.split(text, "\n"), lambda x: F.char_length(F.trim(x, F.lit(BLANKS))) > 0),
+    out = rows.select("whole", *[c.alias(n) for n, c in {
+        "_words": F.array_remove(F.split(F.translate(text, BLANKS, " " * len(BLANKS)), " "), ""),
+        "_split": F.filter(F.split(text, "\n"), lambda x: F.char_length(F.trim(x, F.lit(BLANKS))) > 0),
         "word_chars": F.char_length(F.translate(text, BLANKS, "")).cast("long"),
         "n_symbols": gone(SYMBOLS),
         "_upper": F.char_length(upper).cast("long"),
         "_letters": F.char_length(letters).cast("long"),
         "_marks": gone("!"),
-    })
-    out = out.withColumn("__grams", F.expr("if(size(__words) < 3, cast(array() as array<bigint>), transform(sequence(0, size(__words) - 3), i -> xxhash64(get(__words, i), get(__words, i + 1), get(__words, i + 2))))"))
+    }.items()])
+    out = out.withColumn("_grams", F.expr("if(size(_words) < 3, cast(array() as array<bigint>), transform(sequence(0, size(_words) - 3), i -> xxhash64(get(_words, i), get(_words, i + 1), get(_words, i + 2))))"))
     # Most texts repeat no window; only the others pay for the sort of (window, position).
-    out = out.withColumn("__twice", F.size(F.array_distinct("__grams")) < F.size("__grams"))
-    out = out.withColumn("__order", F.expr("if(__twice, sort_array(transform(__grams, (g, i) -> struct(g, i))), null)"))
-    out = out.withColumn("__at", F.expr("if(__twice, sort_array(transform(filter(transform(__order, (x, i) -> struct(x.i as p, x.g = get(__order, i - 1).g or x.g = get(__order, i + 1).g as again)), y -> coalesce(y.again, false)), y -> y.p)), null)"))
+    out = out.withColumn("_twice", F.size(F.array_distinct("_grams")) < F.size("_grams"))
+    out = out.withColumn("_order", F.expr("if(_twice, sort_array(transform(_grams, (g, i) -> struct(g, i))), null)"))
+    out = out.withColumn("_at", F.expr("if(_twice, sort_array(transform(filter(transform(_order, (x, i) -> struct(x.i as p, x.g = get(_order, i - 1).g or x.g = get(_order, i + 1).g as again)), y -> coalesce(y.again, false)), y -> y.p)), null)"))
     # Windows cover three words each; neighbours that overlap share some.
-    covered = F.expr("if(__twice, aggregate(__at, named_struct('n', 0L, 'end', 0), (a, p) -> named_struct('n', a.n + (p + 3 - greatest(a.end, p)), 'end', p + 3)).n, 0L)")
+    covered = F.expr("if(_twice, aggregate(_at, named_struct('n', 0L, 'end', 0), (a, p) -> named_struct('n', a.n + (p + 3 - greatest(a.end, p)), 'end', p + 3)).n, 0L)")
     out = out.withColumns({
-        "n_words": F.size("__words").cast("long"),
-        "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
+        "n_words": F.size("_words").cast("long"),
+        "n_dup_lines": (F.size("_split") - F.size(F.array_distinct("_split"))).cast("long"),
         "n_repeat_words": covered,
-        "_lines": F.size("__lines").cast("long"),
-        "_stops": F.size(F.array_intersect("__words", F.array(*[F.lit(w) for w in dict.fromkeys(STOP_WORDS)]))),
+        "_lines": F.size("_split").cast("long"),
+        "_stops": F.size(F.array_intersect("_words", F.array(*[F.lit(w) for w in dict.fromkeys(STOP_WORDS)]))),
     })
     out = out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-    out = out.withColumn("votes", F.array(*rules().values()))
-    return out.drop("__words", "__lines", "__grams", "__twice", "__order", "__at", "_upper", "_letters", "_marks", "_lines", "_stops")
+    return out.select("whole", *FEATURES, "base_failed", F.array(*rules().values()).alias("votes"))
 
 
 @dataclass(frozen=True)
@@ -130,13 +130,15 @@ def score_quality(docs: DataFrame, keep_text: bool = True, threshold: float = 0.
 
     The base rule fails texts under MIN_WORDS words or with over half of their words in repeated three-word windows; of the
     rest those with a posterior of ``threshold`` or more are kept. Null and empty texts fail. Repeated rows and null ids are
-    rows like any other; columns of ``docs`` with one of the new names are replaced. The features are computed once.
+    rows like any other; columns of ``docs`` with one of the new names are replaced, all others stay. An empty table gives an
+    empty result. The features are computed once.
     """
-    new = {*FEATURES, "base_failed", "votes", "quality", "kept"}
+    new = {*FEATURES, "base_failed", "quality", "kept"}
     own = [c for c in docs.columns if c not in new and (keep_text or c != "text")]
-    scored = with_features(docs).select(*own, *FEATURES, "base_failed", "votes")
+    # Own columns stay in one struct meanwhile, so that their names meet no others.
+    scored = with_features(docs.select(F.struct(*[named(c) for c in own]).alias("whole"), "text"))
     scored = materialize(scored, "quality-features")
     patterns = materialize(scored.groupBy("votes").agg(F.count("*").alias("n")), "quality-patterns")
-    model = fit_label_model(patterns, len(rules()))
-    out = scored.withColumn("quality", model.posterior())
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold)).drop("votes")
+    quality = fit_label_model(patterns, len(rules())).posterior()
+    columns = [F.col("whole")[c].alias(c) for c in own]
+    return scored.select(*columns, *FEATURES, "base_failed", quality.alias("quality"), (~F.col("base_failed") & (quality >= threshold)).alias("kept"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -73,3 +74,12 @@ def release(table: DataFrame) -> None:
     for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of jobs that have ended, which it does once the driver has collected its garbage.
+
+    Between the steps of a long operator, so that its disk is that of its largest step and not the sum of all.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

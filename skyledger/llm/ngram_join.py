@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import materialize, release, ship
+from skyledger.llm.common import free_shuffles, materialize, release, ship
 from skyledger.llm.components import components
 from skyledger.llm.words import end, folded, runs, step, with_words
 
@@ -28,6 +28,8 @@ from skyledger.llm.words import end, folded, runs, step, with_words
 COMMON = 50
 #: First n-grams of a set that name its buckets among documents of common n-grams.
 BUCKETS = 4
+#: Bits of the map of documents whose texts are wanted, broadcast 64 in a row at any size of the corpus.
+BITS = 1 << 26
 
 
 def head(n: int, percent: int) -> int:
@@ -104,8 +106,7 @@ def product(left: DataFrame, right: DataFrame, percent: int, same: bool) -> Data
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets, over all columns, reach the similarity. Each side is joined by itself, so that a node of
-    many pairs is split over tasks."""
+    """The pairs (a, b) whose sets, over all columns, reach the similarity."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,16 +118,42 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    half = materialize(pairs.join(sets.select(F.col("node").alias("b"), F.col("entries").alias("_y")), "b"), "ngram-half-pairs")
+    half = pairs.join(sets.select(F.col("node").alias("b"), F.col("entries").alias("_y")), "b")
     both = half.join(sets.select(F.col("node").alias("a"), F.col("entries").alias("_x")), "a")
-    return both.select("a", "b", "_x", "_y").mapInArrow(counted, "a long, b long")
+    return both.select("a", "b", "_x", "_y").mapInArrow(counted, "a long, b long").distinct()
+
+
+def connected(pairs: DataFrame, sets: DataFrame, percent: int, found: DataFrame) -> DataFrame:
+    """``found`` with links of ``pairs`` (a < b), enough of them to connect all that they link.
+
+    Each node is compared with the smallest that it is paired with; then only pairs of different components are left. So a
+    group of near copies costs comparisons in proportion to its members.
+    """
+    first = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")), "ngram-first-pairs")
+    found = found.unionByName(materialize(linked(first, sets, percent), "ngram-first-links"))
+    labels = components(found)
+    rest = pairs
+    for c in "ab":
+        rest = rest.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c, "left")
+    rest = rest.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+    return found.unionByName(materialize(linked(materialize(rest, "ngram-other-pairs"), sets, percent), "ngram-other-links"))
+
+
+def _some(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is in ``ids``. Most others are told by a bitmap of BITS bits and not shuffled."""
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(BITS))
+    word, bit = F.shiftright(place, 6).cast("int"), F.pmod(place, F.lit(64)).cast("int")
+    ids = ids.select(F.col("doc_id").cast("long").alias("doc_id"), word.alias("word"), bit.alias("bit"))
+    bits = materialize(ids.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")), "ngram-bits")
+    marked = docs.withColumns({"word": word, "bit": bit}).join(F.broadcast(bits), "word")  # at most BITS / 64 rows
+    return marked.filter(F.expr("shiftright(bits, bit) & 1L") == 1).select(*docs.columns).join(ids, "doc_id", "left_semi")
 
 
 def _sets_of(nodes: DataFrame, of_node: DataFrame, docs: DataFrame, n: int, name: str) -> DataFrame:
-    """node, n_shingles, entries (the whole set) of ``nodes``, from the text of one document of each."""
+    """node, n_shingles, entries (the whole set) of ``nodes``, from the text of one document of each. Where rows are repeated
+    a node may come twice."""
     ids = of_node.join(nodes, "node", "left_semi").select("doc_id")
-    found = sketches(docs.join(ids, "doc_id", "left_semi"), n, None).groupBy("node").agg(F.first(F.struct("n_shingles", "entries")).alias("one"))
-    return materialize(found.select("node", "one.*"), name)
+    return materialize(sketches(_some(docs, ids), n, None).select("node", "n_shingles", "entries"), name)
 
 
 def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
@@ -202,15 +229,18 @@ def jaccard_links(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> Da
     light = materialize(_labelled(heads.filter("not dense").drop("dense"), labels), "ngram-heads")
     release(held)
     pairs = materialize(product(light, light, percent, True), "ngram-pairs")
-    dense = materialize(dense.join(ends.filter("dense").select("node"), "node", "left_semi"), "ngram-dense")
+    dense = materialize(dense.join(ends.filter("dense").select("node"), "node", "left_semi").dropDuplicates(["node"]), "ngram-dense")
     # The whole head of a dense node: its n-grams that are not common, as far as they go.
     rest = dense.select("node", F.col("n_shingles").alias("n"), F.posexplode("entries").alias("pos", "gram")).join(common, "gram", "left_anti")
     nth = F.row_number().over(Window.partitionBy("node").orderBy("pos"))
     rest = rest.withColumn("nth", nth).filter(F.col("nth") <= _head(F.col("n"), percent)).select("gram", "node", "n")
     rest = materialize(_labelled(rest, labels), "ngram-dense-heads")
     pairs = materialize(pairs.unionByName(product(rest, light, percent, False)), "ngram-all-pairs")
+    free_shuffles(docs.sparkSession)
     used = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), of_node, docs, n, "ngram-sets")
-    found = found.unionByName(materialize(linked(pairs, used, percent), "ngram-links"))
+    free_shuffles(docs.sparkSession)
+    found = connected(pairs, used, percent, found)
+    release(used)
     return found.unionByName(rare_links(dense, components(found), percent))
 
 
@@ -231,6 +261,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     one = F.min_by(F.struct("doc_id", F.col("n_shingles").alias("n"), "entries"), "doc_id").alias("one")
     nodes = materialize(wide.filter(live).groupBy("node").agg(one).select("node", "one.*"), "ngram-nodes")
     release(wide)
+    free_shuffles(docs.sparkSession)
     live, of_node = table.filter(live), nodes.select("node", "doc_id")
     links = jaccard_links(nodes, docs, n, percent)
     # The texts of one id are linked: each with the one of the smallest node.

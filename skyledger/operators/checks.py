@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def _report(name: str, value: DataFrame, passed: Column) -> DataFrame:
@@ -47,5 +48,8 @@ def fact_rules(daily: DataFrame, bands: list[str]) -> DataFrame:
     return _report("fact_rules", daily.agg(F.count_if(bad).alias("value")), F.col("value") == 0)
 
 
-def schema_matches(df: DataFrame, schema) -> bool:
-    return [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schema.fields]
+def schema_matches(df: DataFrame, schema: StructType) -> DataFrame:
+    """``value``: columns that are missing, of another type, out of place or not foreseen."""
+    found, wanted = ([(f.name, f.dataType) for f in s.fields] for s in (df.schema, schema))
+    wrong = sum(a != b for a, b in zip(found, wanted, strict=False)) + abs(len(found) - len(wanted))
+    return _report("schema", df.sparkSession.range(1).select(F.lit(wrong).alias("value")), F.col("value") == 0)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions import calendar, measures
@@ -11,9 +13,9 @@ from skyledger.operators import tables
 HOUR_ID = ("location_key", "ts_utc")
 
 
-def clean(readings: DataFrame) -> DataFrame:
-    """One row, the latest, of each location and hour, with date and time keys."""
-    rows = tables.latest(readings, list(HOUR_ID), [F.desc("ingested_at"), F.desc("event_id")])
+def clean(readings: DataFrame, order: list | None = None) -> DataFrame:
+    """One row, the first by ``order`` (by default the latest), of each location and hour, with date and time keys."""
+    rows = tables.latest(readings, list(HOUR_ID), order or [F.desc("ingested_at"), F.desc("event_id")])
     return rows.withColumns({"date_key": calendar.date_key(F.col("date_utc")), "time_key": calendar.time_key(F.col("ts_utc"))})
 
 
@@ -52,3 +54,14 @@ def episodes(hours: DataFrame, threshold: int = 151, min_hours: int = 4, break_o
     )
     found = found.withColumn("duration_hours", F.expr("timestampdiff(HOUR, start_ts, end_ts) + 1").cast("long")).filter(F.col("duration_hours") >= min_hours)
     return found.withColumn("rule_code", F.lit(f"AQI>={threshold}_{min_hours}h")).drop("run_id")
+
+
+def episodes_touching(start: date, end: date, overlap: bool = False, first: str = "start_date", last: str = "end_ts") -> Column:
+    """Episodes that start or end in a range of days; with ``overlap`` also those that span it."""
+    begins, ends = F.col(first), F.to_date(last)
+    return (begins <= F.lit(end)) & (ends >= F.lit(start)) if overlap else begins.between(start, end) | ends.between(start, end)
+
+
+def star(hours: DataFrame, dates: DataFrame, times: DataFrame) -> DataFrame:
+    """Facts with the columns of their day and clock hour: ``times`` has 24 rows, ``dates`` one a day."""
+    return hours.join(F.broadcast(times), "time_key").join(dates, "date_key")

@@ -29,12 +29,19 @@ def sample_to_size(df: DataFrame, size: int, seed: int = 42) -> DataFrame:
     return df if n <= size else df.sample(size / n, seed=seed)
 
 
-def supervised(df: DataFrame, ahead: int = 6, column: str = "pm25", min_rows: int = 0) -> DataFrame:
-    """Rows with every base feature and a label, with time features."""
+def as_timestamp(df: DataFrame, column: str = "ts_utc") -> DataFrame:
+    """``column`` as a timestamp, whatever it was."""
+    return df if dict(df.dtypes)[column] == "timestamp" else df.withColumn(column, F.to_timestamp(column))
+
+
+def supervised(df: DataFrame, ahead: int = 6, column: str = "pm25", min_rows: int = 0, sample: int = 0, seed: int = 42) -> DataFrame:
+    """Rows with every base feature and a label, with time features; about ``sample`` of them, if set, taken once labels are known."""
+    df = as_timestamp(df)
     base = [f for f in FEATURES if f in df.columns]
     rows = lead_label(df.dropna(subset=[column]), column, ahead).dropna(subset=[*base, "label"])
     if min_rows and rows.limit(min_rows).count() < min_rows:
         raise ValueError(f"fewer than {min_rows} rows to learn from")
+    rows = sample_to_size(rows, sample, seed) if sample else rows
     return rows.withColumns(calendar.cyclic(F.col("ts_utc")))
 
 
@@ -66,9 +73,20 @@ def importances(model: PipelineModel) -> list[tuple[str, float]]:
     return sorted(((f, round(float(x), 6)) for f, x in pairs), key=lambda p: (-p[1], p[0]))
 
 
-def metrics(predictions: DataFrame, *by: str) -> DataFrame:
-    """rmse, mae, r2, mape (percent, over labels that are not 0) in one pass, rounded to 9 places."""
+def metrics(predictions: DataFrame, *by: str, least_label: float = 0.0) -> DataFrame:
+    """rmse, mae, r2, mape (percent, over labels that are not 0) in one pass, rounded to 6 places; with ``least_label`` mape
+    divides by no less than that, and takes all labels."""
     e, y = F.col("label") - F.col("prediction"), F.col("label")
-    spread = F.sum(y * y) - F.sum(y) * F.sum(y) / F.count(y)
-    nine = {"rmse": F.sqrt(F.avg(e * e)), "mae": F.avg(F.abs(e)), "r2": 1 - F.sum(e * e) / F.nullif(spread, F.lit(0.0)), "mape": F.avg(F.when(y != 0, F.abs(e) / F.abs(y))) * 100}
-    return predictions.groupBy(*by).agg(F.count("*").alias("n"), *[(F.round(v, 6)).alias(k) for k, v in nine.items()])
+    spread = F.var_pop(y) * F.count(y)
+    size = F.greatest(F.abs(y), F.lit(least_label)) if least_label else F.when(y != 0, F.abs(y))
+    found = {"rmse": F.sqrt(F.avg(e * e)), "mae": F.avg(F.abs(e)), "r2": 1 - F.sum(e * e) / F.nullif(spread, F.lit(0.0)), "mape": F.avg(F.abs(e) / size) * 100}
+    return predictions.groupBy(*by).agg(F.count("*").alias("n"), *[F.round(v, 6).alias(k) for k, v in found.items()])
+
+
+def residuals(predictions: DataFrame) -> DataFrame:
+    return predictions.withColumn("residual", F.col("prediction") - F.col("label"))
+
+
+def series(predictions: DataFrame) -> DataFrame:
+    """What was and what was predicted, of each location in order of time where it is written."""
+    return predictions.select("location_key", "ts_utc", F.col("label").alias("actual"), F.col("prediction").alias("predicted"))

@@ -61,12 +61,20 @@ class NewData:
     rows: int
 
 
+def _after(mark: Any, ts: str, day: str | None) -> Column:
+    """Rows later than ``mark`` (None: all), as literals, so that the scan prunes days and row groups."""
+    if mark is None:
+        return F.lit(True)
+    later = F.col(ts) > F.lit(mark)
+    return later & (F.col(day) >= F.lit(mark.date())) if day and isinstance(mark, datetime) else later
+
+
 def new_data(source: DataFrame, target: DataFrame, ts: str = "ts_utc", day: str = "date_utc") -> DataFrame:
     """One row: watermark (of ``target``), min_date, max_date, new_rows of the rows of ``source`` after it."""
-    mark = target.agg(F.max(ts).alias("watermark"))
-    fresh = source.select(ts, day).join(F.broadcast(mark), F.col("watermark").isNull() | (F.col(ts) > F.col("watermark")))
-    found = fresh.agg(F.min(day).alias("min_date"), F.max(day).alias("max_date"), F.count("*").alias("new_rows"))
-    return mark.join(F.broadcast(found))
+    mark = target.agg(F.max(ts)).first()[0]
+    found = source.filter(_after(mark, ts, day if day != ts else None))
+    kind = source.schema[ts].dataType
+    return found.agg(F.min(day).alias("min_date"), F.max(day).alias("max_date"), F.count("*").alias("new_rows")).select(F.lit(mark).cast(kind).alias("watermark"), "*")
 
 
 def new_data_range(source: DataFrame, target: DataFrame, ts: str = "ts_utc", day: str = "date_utc") -> NewData:
@@ -74,9 +82,15 @@ def new_data_range(source: DataFrame, target: DataFrame, ts: str = "ts_utc", day
     return NewData(row["watermark"] is None, row["min_date"], row["max_date"], row["new_rows"])
 
 
-def after_watermark(source: DataFrame, target: DataFrame, ts: str = "ts_utc") -> DataFrame:
-    mark = target.agg(F.max(ts).alias("_mark"))
-    return source.join(F.broadcast(mark), F.col("_mark").isNull() | (F.col(ts) > F.col("_mark"))).drop("_mark")
+def new_data_by_key(source: DataFrame, target: DataFrame, keys: list[str], ts: str = "ts_utc", day: str = "date_utc") -> DataFrame:
+    """Like ``new_data`` with a watermark for each key, so that a key that lags behind is not passed over: a row for each key."""
+    marks = target.groupBy(*keys).agg(F.max(ts).alias("watermark"))
+    later = source.select(*keys, ts, day).join(marks, keys, "left").filter(F.col("watermark").isNull() | (F.col(ts) > F.col("watermark")))
+    return later.groupBy(*keys, "watermark").agg(F.min(day).alias("min_date"), F.max(day).alias("max_date"), F.count("*").alias("new_rows"))
+
+
+def after_watermark(source: DataFrame, target: DataFrame, ts: str = "ts_utc", day: str | None = None) -> DataFrame:
+    return source.filter(_after(target.agg(F.max(ts)).first()[0], ts, day))
 
 
 def drop_future(df: DataFrame, now: datetime, ts: str = "ts_utc") -> DataFrame:

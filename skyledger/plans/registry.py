@@ -8,10 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger import schemas
 from skyledger.functions import calendar, measures
-from skyledger.operators import checks, facts, forecast, tables
+from skyledger.operators import checks, facts, forecast, reports, tables
 from skyledger.plans import fixtures as fx
+from skyledger.plans import pipeline
 from skyledger.sources import files
+from skyledger.sources.store import Store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -57,7 +60,7 @@ for _name, _a, _b in (("between", "2024-01-10", "2024-01-12"), ("from", "2024-01
 @query("SELECT location_key, ts_utc, aqi FROM clean WHERE ts_utc > TIMESTAMP '2024-01-20 12:00:00'")
 def rows_after_watermark(s, d):
     rows = fx.clean(s, d)
-    return tables.after_watermark(rows, rows.filter(fx.OLD)).select(*C)
+    return tables.after_watermark(rows, rows.filter(fx.OLD), day="date_utc").select(*C)
 
 
 @query("SELECT location_key, ts_utc, aqi, pm25 FROM clean WHERE aqi IS NOT NULL AND pm25 IS NOT NULL AND o3 IS NOT NULL")
@@ -122,9 +125,7 @@ _SHIFT = "CASE WHEN hour(ts_utc) < 6 THEN 'night' WHEN hour(ts_utc) < 12 THEN 'm
 
 @query(f"SELECT {_SHIFT} AS work_shift, isodow(date_utc) IN (6, 7) AS is_weekend, count(*) AS hours, CAST(sum(aqi) AS BIGINT) AS total FROM hourly GROUP BY 1, 2")
 def star_join_hours_by_shift(s, d):
-    hours = fx.hourly(s, d).select("time_key", "date_key", "aqi")
-    # 24 rows of clock hours, and one row a calendar day.
-    joined = hours.join(F.broadcast(calendar.dim_time(s)), "time_key").join(calendar.dim_date(fx.clean(s, d)), "date_key")
+    joined = facts.star(fx.hourly(s, d).select("time_key", "date_key", "aqi"), calendar.dim_date(fx.clean(s, d)), calendar.dim_time(s))
     return joined.groupBy("work_shift", "is_weekend").agg(F.count("*").alias("hours"), F.sum("aqi").alias("total"))
 
 
@@ -155,9 +156,23 @@ def daily_fact(s, d):
     return _rounded(facts.daily(fx.hourly(s, d)))
 
 
+def _layers(s, d):
+    """The layers, written from readings that arrive in two parts; the second part is built incrementally."""
+    store = Store(s, files.scratch(s, "layers"))
+    rows = fx.readings(s, d).withColumn("_ingested_at", F.col("ingested_at"))
+    rows = tables.latest(rows, KEYS, [F.desc("ingested_at"), F.desc("event_id")])
+    old = F.expr(fx.OLD)
+    for part in (rows.filter(old), rows.filter(~old)):
+        report = pipeline.run_pipeline(store, arrived=lambda p=part: pipeline.land_rows(store, p)).filter("status = 'failed'").collect()
+        if report:
+            raise RuntimeError(str(report))
+    return store
+
+
 @query(_DAILY + _ROUNDED)
 def pipeline_daily_from_raw(s, d):
-    return _rounded(facts.daily(facts.hourly(facts.clean(fx.readings(s, d)))))
+    daily = _layers(s, d).read(schemas.DAILY).withColumnsRenamed({f"hours_in_cat_{b}": f"{b}_hours" for b in measures.BANDS})
+    return _rounded(daily.drop("daily_record_id")).withColumns({c: F.col(c).cast("long") for c in ("hours_measured", *(f"{b}_hours" for b in measures.BANDS))})
 
 
 @query("SELECT location_key, date_utc, arg_min(dominant_pollutant, struct_pack(a := -coalesce(aqi, -1), t := ts_utc)) FILTER (WHERE dominant_pollutant IS NOT NULL) AS dominant_pollutant_daily FROM hourly GROUP BY ALL")
@@ -172,7 +187,7 @@ def category_hours(s, d):
 
 @query("SELECT location_key, max(ts_utc) AS latest FROM clean GROUP BY location_key")
 def latest_per_key(s, d):
-    return fx.clean(s, d).groupBy("location_key").agg(F.max("ts_utc").alias("latest"))
+    return reports.latest_per_key(fx.clean(s, d))
 
 
 @query("SELECT TIMESTAMP '2024-01-20 12:00:00' AS watermark, min(date_utc) AS min_date, max(date_utc) AS max_date, count(*) AS new_rows FROM clean WHERE ts_utc > (SELECT max(ts_utc) FROM clean WHERE ts_utc <= TIMESTAMP '2024-01-20 12:00:00')")
@@ -183,21 +198,13 @@ def new_data_range(s, d):
 
 @query("SELECT 'readings' AS layer, count(*) AS n FROM readings UNION ALL SELECT 'clean', count(*) FROM clean UNION ALL SELECT 'hourly', count(*) FROM hourly")
 def row_counts(s, d):
-    layers = {"readings": fx.readings(s, d), "clean": fx.clean(s, d), "hourly": fx.hourly(s, d)}
-    return _union([df.agg(F.lit(n).alias("layer"), F.count("*").alias("n")) for n, df in layers.items()])
-
-
-def _union(frames):
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return reports.row_counts({"readings": fx.readings(s, d), "clean": fx.clean(s, d), "hourly": fx.hourly(s, d)})
 
 
 @query(_DAILY + "SELECT 'hourly' AS fact, count(*) AS n FROM hourly UNION ALL SELECT 'daily', count(*) FROM daily")
 def fact_counts_union(s, d):
     hours = fx.hourly(s, d)
-    return _union([df.agg(F.lit(n).alias("fact"), F.count("*").alias("n")) for n, df in (("hourly", hours), ("daily", facts.daily(hours)))])
+    return reports.row_counts({"hourly": hours, "daily": facts.daily(hours)}, "fact")
 
 
 @query("SELECT DISTINCT date_utc FROM clean")
@@ -207,47 +214,46 @@ def distinct_dates(s, d):
 
 @query("SELECT date_utc, count(*) AS n FROM clean GROUP BY date_utc")
 def rows_per_date(s, d):
-    return fx.clean(s, d).groupBy("date_utc").agg(F.count("*").alias("n"))
+    return reports.rows_per_date(fx.clean(s, d))
 
 
 @query("SELECT date_utc, count(*) AS n FROM clean GROUP BY date_utc ORDER BY date_utc DESC LIMIT 10")
 def recent_dates(s, d):
-    return rows_per_date(s, d).orderBy(F.desc("date_utc")).limit(10)
+    return reports.first_rows(rows_per_date(s, d), [F.desc("date_utc")])
 
 
 @query("SELECT location_key, count(*) AS n, count(DISTINCT ts_utc) AS n_hours FROM readings GROUP BY location_key")
 def dedup_check(s, d):
-    return fx.readings(s, d).groupBy("location_key").agg(F.count("*").alias("n"), F.count_distinct("ts_utc").alias("n_hours"))
+    return reports.key_counts(fx.readings(s, d), "location_key", "ts_utc", "n_hours")
 
 
 @query("SELECT CAST(floor(aqi / 50.0 + 0.5) * 50 AS BIGINT) AS bucket, count(*) AS n FROM clean WHERE aqi IS NOT NULL GROUP BY 1")
 def aqi_histogram(s, d):
-    return fx.clean(s, d).filter("aqi is not null").groupBy((F.floor(F.col("aqi") / 50 + 0.5) * 50).cast("long").alias("bucket")).agg(F.count("*").alias("n"))
+    return reports.histogram(fx.clean(s, d), F.col("aqi"), 50)
 
 
 @query("SELECT location_key, min(ts_utc) AS first_ts, max(ts_utc) AS last_ts, count(ts_utc) AS n FROM clean GROUP BY location_key")
 def coverage(s, d):
-    return fx.clean(s, d).groupBy("location_key").agg(F.min("ts_utc").alias("first_ts"), F.max("ts_utc").alias("last_ts"), F.count("ts_utc").alias("n"))
+    return reports.coverage(fx.clean(s, d), "location_key")
 
 
-@query("""SELECT count(*) AS source_rows, count(*) FILTER (WHERE old) AS target_rows, count(*) FILTER (WHERE NOT old) AS pending,
-  round(100.0 * CAST(count(*) FILTER (WHERE old) AS DOUBLE) / count(*), 6) AS savings,
-  CASE WHEN 100.0 * count(*) FILTER (WHERE old) / count(*) >= 90 THEN 'excellent' WHEN 100.0 * count(*) FILTER (WHERE old) / count(*) >= 70 THEN 'good'
-  WHEN 100.0 * count(*) FILTER (WHERE old) / count(*) >= 50 THEN 'fair' ELSE 'poor' END AS rating
-  FROM (SELECT ts_utc <= TIMESTAMP '2024-01-20 12:00:00' AS old FROM clean) x""")
-def layer_status(s, d):
-    x = fx.clean(s, d).agg(F.count("*").alias("source_rows"), F.count_if(F.expr(fx.OLD)).alias("target_rows"))
-    share = 100 * F.col("target_rows").cast("double") / F.col("source_rows")
-    rating = F.when(share >= 90, "excellent").when(share >= 70, "good").when(share >= 50, "fair").otherwise("poor")
-    return x.select("source_rows", "target_rows", (F.col("source_rows") - F.col("target_rows")).alias("pending"), F.round(share, 6).alias("savings"), rating.alias("rating"))
+_STATUS = """, pairs AS (
+  SELECT 'readings to clean' AS name, (SELECT count(*) FROM readings) AS source_rows, (SELECT count(*) FROM clean WHERE OLD) AS target_rows,
+    (SELECT max(ts_utc) FROM readings) AS source_latest, (SELECT max(ts_utc) FROM clean WHERE OLD) AS target_latest,
+    (SELECT count(*) FROM readings WHERE ts_utc > (SELECT max(ts_utc) FROM clean WHERE OLD)) AS pending
+  UNION ALL SELECT 'clean to hourly', (SELECT count(*) FROM clean), (SELECT count(*) FROM hourly), (SELECT max(ts_utc) FROM clean), (SELECT max(ts_utc) FROM hourly), 0),
+  rated AS (SELECT * FROM pairs UNION ALL SELECT 'total', sum(source_rows), sum(target_rows), max(source_latest), max(target_latest), sum(pending) FROM pairs)
+  SELECT name, CAST(source_rows AS BIGINT) AS source_rows, CAST(target_rows AS BIGINT) AS target_rows, source_latest, target_latest, CAST(pending AS BIGINT) AS pending,
+    round(100.0 * (source_rows - pending) / source_rows, 6) AS savings,
+    CASE WHEN 100.0 * (source_rows - pending) / source_rows >= 90 THEN 'excellent' WHEN 100.0 * (source_rows - pending) / source_rows >= 70 THEN 'good'
+      WHEN 100.0 * (source_rows - pending) / source_rows >= 50 THEN 'fair' ELSE 'poor' END AS rating FROM rated""".replace("OLD", fx.OLD)
 
 
-@query(_DAILY + """SELECT 'clean' AS layer, count(*) AS n FROM clean WHERE date_utc BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
-  UNION ALL SELECT 'daily', count(*) FROM daily WHERE date_key BETWEEN 20240110 AND 20240112""")
-def range_counts(s, d):
-    a = fx.clean(s, d).filter(tables.in_range("date_utc", dt.date(2024, 1, 10), dt.date(2024, 1, 12)))
-    b = facts.daily(fx.hourly(s, d)).filter(tables.in_range("date_key", 20240110, 20240112))
-    return _union([df.agg(F.lit(n).alias("layer"), F.count("*").alias("n")) for n, df in (("clean", a), ("daily", b))])
+@query(_STATUS)
+def layer_status(s, d):
+    rows = fx.clean(s, d)
+    first = reports.layer_status(fx.readings(s, d), rows.filter(fx.OLD), "readings to clean")
+    return reports.status_total([first, reports.layer_status(rows, fx.hourly(s, d), "clean to hourly")])
 
 
 @query("SELECT event_id, location_key, ts_utc FROM clean")
@@ -285,20 +291,43 @@ def run_ids(s, d):
     return facts.runs(fx.hourly(s, d), 151).select("location_key", "ts_utc", "run_id")
 
 
-for _name, _args in {"episodes_151_4h": (151, 4, False), "episodes_101_3h": (101, 3, False), "episodes_strict_101_3h": (101, 3, True), "pipeline_episodes_from_raw": (151, 4, False)}.items():
+for _name, _args in {"episodes_151_4h": (151, 4, False), "episodes_101_3h": (101, 3, False), "episodes_strict_101_3h": (101, 3, True)}.items():
     query(_episodes(*_args) + "SELECT * FROM episodes", _name)(lambda s, d, a=_args: facts.episodes(fx.hourly(s, d), *a))
 
 
+@query(_episodes(151, 4) + "SELECT * FROM episodes")
+def pipeline_episodes_from_raw(s, d):
+    found = _layers(s, d).read(schemas.EPISODES).withColumnsRenamed({"start_ts_utc": "start_ts", "end_ts_utc": "end_ts", "start_date_utc": "start_date"})
+    return found.drop("episode_id").withColumns({c: F.col(c).cast("long") for c in ("duration_hours", "hours_flagged")})
+
+
+_FROM, _TO = dt.date(2024, 1, 10), dt.date(2024, 1, 12)
+_DAYS = "BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'"
+
+
+@query(_DAILY + _episodes(101, 3) + " ".join(f"SELECT '{n}' AS layer, count(*) AS n FROM {n} WHERE date_utc {_DAYS} UNION ALL" for n in ("readings", "clean", "hourly"))
+       + f" SELECT 'daily', count(*) FROM daily WHERE date_key BETWEEN 20240110 AND 20240112 UNION ALL SELECT 'episodes', count(*) FROM episodes WHERE start_date {_DAYS} OR CAST(end_ts AS DATE) {_DAYS}")
+def range_counts(s, d):
+    hours = fx.hourly(s, d)
+    layers = {n: df.filter(tables.in_range("date_utc", _FROM, _TO)) for n, df in (("readings", fx.readings(s, d)), ("clean", fx.clean(s, d)), ("hourly", hours))}
+    layers["daily"] = facts.daily(hours).filter(tables.in_range("date_key", 20240110, 20240112))
+    layers["episodes"] = facts.episodes(hours, 101, 3).filter(facts.episodes_touching(_FROM, _TO))
+    return reports.row_counts(layers)
+
+
 @query(_episodes(101, 3) + "SELECT * FROM episodes ORDER BY peak_aqi DESC, start_ts, location_key LIMIT 10")
 def top_episodes(s, d):
-    return facts.episodes(fx.hourly(s, d), 101, 3).orderBy(F.desc("peak_aqi"), "start_ts", "location_key").limit(10)
+    return reports.first_rows(facts.episodes(fx.hourly(s, d), 101, 3), [F.desc("peak_aqi"), "start_ts", "location_key"])
 
 
 @query(_episodes(101, 3) + "SELECT * FROM episodes WHERE NOT (start_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' OR CAST(end_ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12')")
 def delete_episodes_touching(s, d):
-    a, b = dt.date(2024, 1, 10), dt.date(2024, 1, 12)
-    gone = F.col("start_date").between(a, b) | F.to_date("end_ts").between(a, b)
-    return tables.delete_where(facts.episodes(fx.hourly(s, d), 101, 3), gone)
+    return tables.delete_where(facts.episodes(fx.hourly(s, d), 101, 3), facts.episodes_touching(_FROM, _TO))
+
+
+@query(_episodes(101, 3) + "SELECT * FROM episodes WHERE NOT (start_date <= DATE '2024-01-12' AND CAST(end_ts AS DATE) >= DATE '2024-01-10')")
+def delete_episodes_overlapping(s, d):
+    return tables.delete_where(facts.episodes(fx.hourly(s, d), 101, 3), facts.episodes_touching(_FROM, _TO, overlap=True))
 
 
 @query("SELECT location_key, ts_utc, lead(pm25, 6) OVER (PARTITION BY location_key ORDER BY ts_utc) AS label FROM clean")
@@ -318,7 +347,7 @@ def chronological_split(s, d):
 
 @query("SELECT location_key, ts_utc, aqi FROM clean ORDER BY ts_utc DESC, location_key LIMIT 10")
 def latest_n(s, d):
-    return fx.clean(s, d).orderBy(F.desc("ts_utc"), "location_key").limit(10).select(*C)
+    return reports.first_rows(fx.clean(s, d), [F.desc("ts_utc"), "location_key"]).select(*C)
 
 
 @query()
@@ -412,17 +441,17 @@ def regression_metrics_by_key(s, d):
 
 @query(_LABELLED + "SELECT location_key, ts_utc, round(prediction - label, 6) AS residual FROM scored2")
 def residuals(s, d):
-    return _naive(s, d).select("location_key", "ts_utc", F.round(F.col("prediction") - F.col("label"), 6).alias("residual"))
+    return forecast.residuals(_naive(s, d)).select("location_key", "ts_utc", F.round("residual", 6).alias("residual"))
 
 
 @query(_LABELLED + "SELECT CAST(floor((prediction - label) / 20) AS BIGINT) AS bin, count(*) AS n FROM scored2 GROUP BY 1")
 def residual_histogram(s, d):
-    return _naive(s, d).groupBy(F.floor((F.col("prediction") - F.col("label")) / 20).alias("bin")).agg(F.count("*").alias("n"))
+    return reports.bins(forecast.residuals(_naive(s, d)), F.col("residual"), 20)
 
 
 @query(_LABELLED + "SELECT location_key, ts_utc, label AS actual, prediction AS predicted FROM scored2")
 def actual_vs_predicted(s, d):
-    return _naive(s, d).select("location_key", "ts_utc", F.col("label").alias("actual"), F.col("prediction").alias("predicted"))
+    return forecast.series(_naive(s, d))
 
 
 _BASE = [f for f in forecast.FEATURES if not f.endswith(("_sin", "_cos"))]
@@ -487,3 +516,15 @@ _SUM = " + ".join(f"{b}_hours" for b in measures.BANDS)
 @query(_DAILY + _check("fact_rules", f"count(*) FILTER (WHERE hours_measured > 24 OR NOT (data_completeness BETWEEN 0 AND 100) OR {_SUM} > hours_measured)", "value = 0", "FROM daily"))
 def dq_fact_rules(s, d):
     return checks.fact_rules(facts.daily(fx.hourly(s, d)), [f"{b}_hours" for b in measures.BANDS])
+
+
+@query("SELECT 'schema' AS \"check\", true AS passed, CAST(count(*) * 0 AS DOUBLE) AS value FROM clean")
+def dq_schema(s, d):
+    return checks.schema_matches(tables.conform(fx.clean(s, d), schemas.CLEAN.schema), schemas.CLEAN.schema)
+
+
+@query("SELECT location_key, max(ts_utc) FILTER (WHERE old) AS watermark, min(date_utc) FILTER (WHERE NOT old) AS min_date, max(date_utc) FILTER (WHERE NOT old) AS max_date, count(*) FILTER (WHERE NOT old) AS new_rows "
+       "FROM (SELECT *, ts_utc <= TIMESTAMP '2024-01-20 12:00:00' AS old FROM clean) x GROUP BY location_key HAVING count(*) FILTER (WHERE NOT old) > 0")
+def new_data_by_key(s, d):
+    rows = fx.clean(s, d)
+    return tables.new_data_by_key(rows, rows.filter(fx.OLD), ["location_key"])

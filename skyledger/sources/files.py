@@ -1,13 +1,53 @@
-"""Parquet, JSON and CSV sources and sinks; swaps that stay whole when a job dies."""
+"""Parquet, JSON and CSV sources and sinks."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import tempfile
+from typing import Any
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def _at(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """File system and path as the JVM has them: any store that Spark can read."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _at(spark, path)
+    return fs.exists(at)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, at = _at(spark, path)
+    if not fs.mkdirs(at):
+        raise OSError(f"{path} cannot be made")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at = _at(spark, path)
+    if fs.exists(at) and not fs.delete(at, True):
+        raise OSError(f"{path} cannot be removed")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share; it goes when the application ends."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    fs, at = _at(spark, path)
+    fs.deleteOnExit(at)
+    return path
+
+
 def read_table(spark: SparkSession, name: str, fallback: str | None = None) -> DataFrame:
     """A catalog table, or a parquet path; ``fallback`` is a path for where neither is found."""
     if "/" not in name and spark.catalog.tableExists(name):
@@ -23,19 +63,31 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_locations(spark: SparkSession, path: str) -> DataFrame:
-    """location_key, latitude, longitude of JSON lines, an array, or {"locations": [...]}; the key is location_key, id or name."""
-    fields = "location_key string, id string, name string, latitude double, longitude double"
-    whole = spark.read.text(path, wholetext=True)
-    listed = F.from_json("value", f"array<struct<{fields.replace(' string', ': string').replace(' double', ': double')}>>")
-    nested = F.from_json("value", f"struct<locations: array<struct<{fields.replace(' string', ': string').replace(' double', ': double')}>>>")
-    body = F.trim(F.translate("value", "\n\r\t", "   "))
-    arrays = whole.filter(body.startswith("[")).select(F.explode(listed).alias("x"))
-    objects = whole.select(F.explode(nested["locations"]).alias("x"))
-    rows = arrays.unionByName(objects).select("x.*")
-    lines = read_jsonl(spark, path, fields)
-    rows = rows.unionByName(lines)
+    """location_key, location_name, latitude, longitude, timezone of JSON lines, an array, or {"locations": [...]}.
+
+    The key is location_key, id or name. Only the beginning of a file is looked at to tell which form it has; lines are read
+    line by line, and only an array or object as a whole. Lines that are no JSON are left out.
+    """
+    fields = "location_key string, id string, name string, location_name string, latitude double, longitude double, timezone string"
+    start = spark.read.text(path).select(F.trim("value").alias("v")).filter("v <> ''").first()
+    lines = spark.read.schema(fields).option("mode", "DROPMALFORMED")
+    if start is None:
+        rows = spark.createDataFrame([], fields)
+    elif start["v"].startswith("["):
+        rows = lines.option("multiLine", True).json(path)
+    elif "locations" in start["v"] or start["v"] == "{":
+        rows = spark.read.schema(f"locations array<struct<{', '.join(f.replace(' ', ': ') for f in fields.split(', '))}>>").option("multiLine", True).json(path)
+        rows = rows.select(F.explode("locations").alias("x")).select("x.*")
+    else:
+        rows = lines.json(path)
     key = F.coalesce("location_key", "id", "name")
-    return rows.select(key.alias("location_key"), "latitude", "longitude").filter(key.isNotNull()).distinct()
+    return rows.select(key.alias("location_key"), F.coalesce("location_name", "name").alias("location_name"), "latitude", "longitude", "timezone").filter(key.isNotNull()).distinct()
+
+
+def read_pollutants(spark: SparkSession, path: str) -> DataFrame:
+    """pollutant_code, display_name, unit_default, aqi_timespan (may be null) of JSON lines."""
+    rows = read_jsonl(spark, path, "pollutant_code string, display_name string, unit_default string, aqi_timespan string")
+    return rows.filter("pollutant_code is not null")
 
 
 def explode_payload(payload: DataFrame, measures: list[str]) -> DataFrame:
@@ -52,17 +104,25 @@ def append(df: DataFrame, path: str, *by: str) -> None:
 
 
 def overwrite(df: DataFrame, path: str, *by: str) -> None:
-    """Replaces ``path``, which ``df`` may read: written beside it first, then swapped."""
+    """Replaces ``path``, which ``df`` may read: written beside it first, then swapped by two renames.
+
+    Between the renames a reader finds no ``path``. If the second one fails the old state is put back; if the driver dies
+    between them it lies beside ``path`` under ``.old-``.
+    """
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    staged, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    df.write.partitionBy(*by).parquet(staged)
-    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(at(path)):
-        fs.rename(at(path), at(old))
-    fs.rename(at(staged), at(path))
-    fs.delete(at(old), True)
+    mark = uuid.uuid4().hex
+    df.write.partitionBy(*by).option("compression", "zstd").parquet(f"{path}.new-{mark}")
+    fs, at = _at(spark, path)
+    new, old = (_at(spark, f"{path}.{k}-{mark}")[1] for k in ("new", "old"))
+    had = fs.exists(at)
+    if had and not fs.rename(at, old):
+        fs.delete(new, True)
+        raise OSError(f"{path} cannot be moved")
+    if not fs.rename(new, at):
+        if had and not fs.rename(old, at):
+            raise OSError(f"{path} cannot be replaced; its old state is {old.toString()}")
+        raise OSError(f"{path} cannot be replaced")
+    fs.delete(old, True)
 
 
 def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
@@ -73,14 +133,19 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """location_key, ts_utc, label, prediction of a folder of CSV parts, in order of time."""
+    return read_csv(spark, path, "location_key string, ts_utc timestamp, label double, prediction double").orderBy("ts_utc", "location_key")
+
+
 def export_csv(spark: SparkSession, tables: dict[str, str], out: str) -> DataFrame:
     """Every parquet table (name to path) as CSV; (table, rows, status, error) tells how each went."""
     report = []
     for name, path in tables.items():
         try:
-            df = spark.read.parquet(path)
-            write_csv(df, f"{out.rstrip('/')}/{name}")
-            report.append((name, df.count(), "ok", None))
+            seen = Observation()
+            write_csv(spark.read.parquet(path).observe(seen, F.count(F.lit(1)).alias("rows")), f"{out.rstrip('/')}/{name}")
+            report.append((name, int(seen.get["rows"]), "ok", None))
         except Exception as e:  # one bad table does not stop the others
             report.append((name, 0, "failed", str(e)[:500]))
     return spark.createDataFrame(report, "table string, rows long, status string, error string")

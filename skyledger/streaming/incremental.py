@@ -1,23 +1,24 @@
-"""Incremental landing: new files of a folder, upserted into a parquet table batch by batch."""
+"""Incremental landing: new files of a folder, merged into a table batch by batch."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.operators import tables
-from skyledger.sources import files
+from skyledger.schemas import Table
+from skyledger.sources.store import Store
 
 
-def land_new_files(spark: SparkSession, landing: str, target: str, schema: str, keys: list[str], order: list, checkpoint: str) -> StreamingQuery:
-    """Upserts what has arrived since the last run and ends; of rows with one key the first by ``order`` wins."""
+def land_new_files(store: Store, landing: str, table: Table, order: list, checkpoint: str, update: bool = True) -> StreamingQuery:
+    """Merges what has arrived in ``landing`` since the last run and ends; of rows with one key the first by ``order`` wins.
+
+    Only partitions that a batch has rows for are written. A batch that is run again after a failure gives the same table.
+    """
 
     def merge(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        new = tables.latest(batch, keys, order)
-        path = session.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-        found = path.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).exists(path)
-        files.overwrite(tables.upsert(session.read.parquet(target), new, keys) if found else new, target)
+        own = Store(batch.sparkSession, store.root)
+        own.merge(table, tables.latest(batch, list(table.keys), order), update)
 
-    stream = spark.readStream.schema(schema).parquet(landing)
+    stream = store.spark.readStream.schema(table.schema).parquet(landing)
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

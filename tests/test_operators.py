@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import measures
 from skyledger.operators import checks, facts, forecast, tables
+from skyledger.schemas import Table
 from skyledger.sources import files
+from skyledger.sources.store import Store
 from skyledger.streaming import incremental
 
 AQI = ["pm25", "pm10", "o3", "no2", "so2", "co"]
@@ -101,9 +103,11 @@ def test_forecast_end_to_end(spark):
 
 
 def test_stream_upserts_new_files(spark, tmp_path):
-    land, target, ck = (str(tmp_path / n) for n in ("land", "target", "ck"))
-    schema = "k int, n int"
-    for rows in ([(1, 1), (1, 2), (2, 1)], [(2, 5)]):
-        spark.createDataFrame(rows, schema).write.mode("append").parquet(land)
-        incremental.land_new_files(spark, land, target, schema, ["k"], [F.desc("n")], ck).awaitTermination()
-    assert {tuple(r) for r in spark.read.parquet(target).collect()} == {(1, 2), (2, 5)}
+    land, ck = str(tmp_path / "land"), str(tmp_path / "ck")
+    store, table = Store(spark, str(tmp_path / "root")), Table("bronze", "t", "k int, n int, day string", ("k",), ("day",))
+    for rows in ([(1, 1, "a"), (1, 2, "a"), (2, 1, "b"), (3, 1, "c")], [(2, 5, "b"), (4, 1, "b")]):
+        spark.createDataFrame(rows, table.ddl).write.mode("append").parquet(land)
+        before = {f: f.stat().st_mtime_ns for f in (tmp_path / "root").rglob("*.parquet") if "day=a" in str(f)}
+        incremental.land_new_files(store, land, table, [F.desc("n")], ck).awaitTermination()
+    assert {tuple(r) for r in store.read(table).collect()} == {(1, 2, "a"), (2, 5, "b"), (3, 1, "c"), (4, 1, "b")}
+    assert before and all(f.stat().st_mtime_ns == t for f, t in before.items())

@@ -1,37 +1,28 @@
 """Sharding into byte-balanced shards by minimax contiguous partition; groups of equal texts stay together.
 
 The groups are put in a fixed order (by text hash, groups above the fair share first), the smallest feasible shard
-capacity is found by binary search with a greedy check, and the order is cut there. Search and check run as one SQL
-expression over at most ``n_shards * BLOCKS_PER_SHARD`` runs of neighbouring groups, so its input has a fixed bound at
-any corpus size; the capacity found is within two such runs (0.1 % of a shard, or one group if that is larger) of the optimum.
+capacity is found by binary search with a greedy check, and the order is cut there. The driver sees runs of neighbouring
+groups, at most ``n_shards * RUNS_PER_SHARD`` at any corpus size. Where a cut may fall inside a run, the run is read again
+in finer ones, until the capacity is that of the single groups.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import materialize
 
-#: Runs of groups a shard is resolved into; bounds the array of the search.
-BLOCKS_PER_SHARD = 2000
+#: Runs of groups a shard is resolved into at once; bounds what reaches the driver.
+RUNS_PER_SHARD = 2000
 #: Prefix sums go by the top 12 bits of the hash: 4,096 totals, then a window in each bucket.
 BUCKET_BITS = 12
 #: Parts of a shard for numbering, so that no task holds a whole shard.
 SLOT_PARTS = 256
 OVERHEAD = 16
 
-_USED = "aggregate(sizes, named_struct('n', 1L, 'used', 0L), (a, s) -> if(a.used + s <= {cap}, named_struct('n', a.n, 'used', a.used + s), named_struct('n', a.n + 1L, 'used', s))).n"
-#: Halves [lo, hi] until the smallest capacity at which the greedy check needs no more than k shards is left.
-_SEARCH = (
-    "aggregate(sequence(1, 63), named_struct('lo', lo, 'hi', hi), (r, i) -> if(r.lo >= r.hi, r, "
-    f"if({_USED.format(cap='((r.lo + r.hi) div 2)')} <= k, named_struct('lo', r.lo, 'hi', (r.lo + r.hi) div 2), named_struct('lo', (r.lo + r.hi) div 2 + 1L, 'hi', r.hi)))).lo"
-)
-_CUTS = (
-    "aggregate(blocks, named_struct('used', 0L, 'cuts', cast(array() as array<bigint>)), (a, b) -> if(a.used + b.size <= capacity, "
-    "named_struct('used', a.used + b.size, 'cuts', a.cuts), named_struct('used', b.size, 'cuts', concat(a.cuts, array(b.first_key))))).cuts"
-)
-
 
 def with_sizes(docs: DataFrame) -> DataFrame:
     """doc_id, size in bytes with overhead, text_crc32, and the hash of the text that names its group (null text: as empty)."""
@@ -50,8 +41,70 @@ def group_offsets(groups: DataFrame) -> DataFrame:
     return groups.join(F.broadcast(totals), "_bucket").withColumn("_start", F.col("_base") + F.coalesce(F.sum("_bytes").over(inside), F.lit(0))).drop("_bucket", "_base")
 
 
-def plan_shards(groups: DataFrame, n_shards: int) -> tuple[list[int], list[int]]:
-    """Keys of the groups that fill a shard of their own (largest first), and the first keys of all but the first shard of the rest."""
+class Runs:
+    """Runs of neighbouring groups in order: where each starts, its first key, its number of groups. They may be cut between
+    groups only, and where a run holds several, it is not known yet where those are."""
+
+    def __init__(self, rows: list[tuple[int, int, int]], total: int) -> None:
+        self.rows, self.total = sorted(rows), total
+        self.starts = [r[0] for r in self.rows]
+
+    def cuts(self, capacity: int, shards: int, hope: bool) -> list[int]:
+        """Where greedy shards end. Cuts lie between runs; with ``hope`` also anywhere in a run of several groups, so that the
+        true cuts lie between the ones and the others."""
+        at, out = 0, []
+        for _ in range(shards):
+            limit = at + capacity
+            if limit >= self.total:
+                return [*out, self.total]
+            i = bisect_right(self.starts, limit) - 1
+            at = max(at, limit if hope and self.rows[i][2] > 1 else self.starts[i])
+            out.append(at)
+        return out
+
+    def least(self, shards: int, hope: bool) -> int:
+        """The smallest capacity that needs no more than ``shards``."""
+        low, high = -(-self.total // shards), self.total
+        while low < high:
+            middle = (low + high) // 2
+            if self.cuts(middle, shards, hope)[-1] == self.total:
+                high = middle
+            else:
+                low = middle + 1
+        return low
+
+    def open(self, low: int, high: int, shards: int) -> list[tuple[int, int]]:
+        """Stretches (from, to) in which cuts for these capacities may lie, as whole runs of which one at least has several groups."""
+        sure, hope = self.cuts(low, shards, False), self.cuts(high, shards, True)
+        ends = [*self.starts[1:], self.total]
+        out: list[tuple[int, int]] = []
+        for j, most in enumerate(hope):
+            first = bisect_right(self.starts, sure[min(j, len(sure) - 1)]) - 1
+            last = bisect_right(self.starts, min(most, self.total - 1)) - 1
+            several = [i for i in range(min(first, last), last + 1) if self.rows[i][2] > 1]
+            out += [(self.starts[i], ends[i]) for i in several]
+        return sorted(set(out))
+
+
+def _runs(groups: DataFrame, width: int, stretches: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """Start, first key and number of groups of runs of ``width`` bytes in the stretches."""
+    merged: list[list[int]] = []
+    for a, b in stretches:
+        if merged and merged[-1][1] == a:
+            merged[-1][1] = b
+        else:
+            merged.append([a, b])
+    which = F.lit(None).cast("int")
+    for i, (a, b) in enumerate(merged):
+        which = F.when((F.col("_start") >= a) & (F.col("_start") < b), i).otherwise(which)
+    runs = groups.withColumn("_which", which).filter("_which is not null").groupBy("_which", F.expr(f"_start div {width}L").alias("_at"))
+    runs = runs.agg(F.min("_start").alias("start"), F.min("_key").alias("key"), F.count("*").alias("n"))
+    return [(r["start"], r["key"], r["n"]) for r in runs.collect()]
+
+
+def plan_shards(groups: DataFrame, n_shards: int) -> tuple[list[int], list[int], int]:
+    """Keys of the groups that fill a shard of their own (largest first), the first keys of all but the first shard of the rest,
+    and the capacity of these."""
     left = groups.agg(F.sum("_bytes").alias("b")).first()["b"] or 0
     alone, k = [], n_shards
     # At most n_shards groups can exceed the fair share.
@@ -60,16 +113,20 @@ def plan_shards(groups: DataFrame, n_shards: int) -> tuple[list[int], list[int]]
             break
         alone.append(row["_key"])
         left, k = left - row["_bytes"], k - 1
-    rest = group_offsets(groups.filter(~F.col("_key").isin(alone)) if alone else groups)
-    width = max(1, -(-left // (k * BLOCKS_PER_SHARD)))
-    blocks = rest.groupBy(F.expr(f"_start div {width}L").alias("at")).agg(F.sum("_bytes").alias("size"), F.min("_key").alias("first_key"))
-    blocks = materialize(blocks, "sharding-blocks")
-    one = blocks.agg(F.sort_array(F.collect_list(F.struct("at", "size", "first_key"))).alias("blocks"), F.max("size").alias("most"))
-    searched = one.withColumns({"sizes": F.col("blocks.size"), "k": F.lit(k).cast("long"), "lo": F.greatest(F.col("most"), F.lit(-(-left // k)).cast("long"))})
-    capacity = searched.withColumn("hi", F.col("lo") + F.col("most")).select(F.expr(_SEARCH).alias("capacity")).first()["capacity"]
-    # A literal: as a column the optimiser would put the whole search into the lambda, once for each run.
-    cuts = one.withColumn("capacity", F.lit(capacity).cast("long")).select(F.expr(_CUTS).alias("cuts")).first()["cuts"]
-    return alone, list(cuts or [])
+    if not left:
+        return alone, [], 0
+    rest = materialize(group_offsets(groups.filter(~F.col("_key").isin(alone)) if alone else groups), "sharding-offsets")
+    most = k * RUNS_PER_SHARD
+    width = max(1, -(-left // most))
+    runs = Runs(_runs(rest, width, [(0, left)]), left)
+    while (low := runs.least(k, True)) < (high := runs.least(k, False)):
+        stretches = runs.open(low, high, k)
+        width = max(1, min(sum(b - a for a, b in stretches) // most, width // 2))
+        finer = _runs(rest, width, stretches)
+        gone = {a for a, _ in stretches}
+        runs = Runs([r for r in runs.rows if r[0] not in gone] + finer, left)
+    first = {start: key for start, key, _ in runs.rows}
+    return alone, [first[at] for at in runs.cuts(high, k, False)[:-1]], high
 
 
 def shard_of(alone: list[int], cuts: list[int]) -> Column:
@@ -103,5 +160,5 @@ def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:
         raise ValueError("n_shards must be at least 1")
     sized = materialize(with_sizes(docs), "sharding-sizes")
     groups = materialize(sized.groupBy("_key").agg(F.sum("size").alias("_bytes")), "sharding-groups")
-    alone, cuts = plan_shards(groups, n_shards)
+    alone, cuts, _ = plan_shards(groups, n_shards)
     return number_slots(sized.withColumn("shard", shard_of(alone, cuts))).select("doc_id", "size", "text_crc32", "shard", "slot")

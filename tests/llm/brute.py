@@ -27,20 +27,26 @@ def quality_base(text: str | None) -> tuple:
     return len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(hit), failed
 
 
-def dedup_lines(docs: list[tuple]) -> list[tuple]:
-    """(doc_id, n_lines, n_dropped, sha) for (doc_id, text)."""
+def _lines_apart(docs: list[tuple]) -> list[tuple[list[str], list[str]]]:
+    """Lines and kept lines of each (doc_id, text)."""
     key = lambda x: x.strip(BLANKS).translate(LOW)
     holders = defaultdict(set)
     for d, t in docs:
         for x in (t or "").split("\n"):
             if len(key(x)) >= 20:
                 holders[key(x)].add(d)
-    out = []
-    for d, t in docs:
-        lines = (t or "").split("\n")
-        kept = [x for x in lines if len(key(x)) < 20 or len(holders[key(x)] - {None}) < 3 or d == max(holders[key(x)] - {None})]
-        out.append((d, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
-    return out
+    stays = lambda d, x: len(key(x)) < 20 or len(holders[key(x)] - {None}) < 3 or d == max(holders[key(x)] - {None})
+    return [(lines := (t or "").split("\n"), [x for x in lines if stays(d, x)]) for d, t in docs]
+
+
+def dedup_lines(docs: list[tuple]) -> list[tuple]:
+    """(doc_id, n_lines, n_dropped, sha) for (doc_id, text)."""
+    apart = _lines_apart(docs)
+    return [(d, len(x), len(x) - len(y), hashlib.sha256("\n".join(y).encode()).hexdigest()) for (d, _), (x, y) in zip(docs, apart, strict=True)]
+
+
+def without_repeated_lines(docs: list[tuple]) -> list[tuple]:
+    return [(d, t if t is None else "\n".join(y)) for (d, t), (_, y) in zip(docs, _lines_apart(docs), strict=True)]
 
 
 def shingle_set(text: str | None, k: int) -> frozenset:

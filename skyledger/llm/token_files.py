@@ -143,7 +143,8 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str | None = None, p
 
     An end id follows each document. Null ids come first; rows with equal ids are in order of their text's hash. The rows
     are range-partitioned by id and hash, so neither many equal ids nor long texts land in one task; a block ends after the
-    document that fills it. An empty table gives an empty file set. Other columns are ignored.
+    document that fills it, so the ids of one text must fit one value (2 GB, about 500 million ids; a longer text is an error). An
+    empty table gives an empty file set. Other columns are ignored.
     """
     ship(docs.sparkSession)
     spark, path = docs.sparkSession, tokenizer or tokenizer_path()

@@ -43,16 +43,21 @@ class Result:
 _RESULT = "stage string, mode string, status string, rows long, start date, end date, seconds double, error string"
 
 
-def land(store: Store, payload: DataFrame, ingested_at: datetime, now: datetime | None = None, mode: str = "insert") -> Result:
+#: What the provider's rows are marked with.
+SOURCE = {"model_domain": "CAMS", "request_timezone": "UTC"}
+
+
+def land(store: Store, payload: DataFrame, ingested_at: datetime, now: datetime | None = None, mode: str = "insert", source: dict[str, str] = SOURCE) -> Result:
     """Lands a provider's payload (arrays of a location and span of time) in the readings, all locations in one job.
 
-    Readings after ``now`` are dropped, indices are rounded half to even, and of one hour the first row stays. ``mode``:
-    insert (what is there stays), upsert (the new wins) or replace (all hours of the locations in the days of the payload).
+    Readings after ``now`` are dropped, indices are rounded half to even, and of one hour one row stays. ``source``: columns
+    that say where the rows come from, where the payload has none of these names. ``mode``: insert (what is there stays), upsert (the new wins) or replace (all hours of the locations in the days of the payload).
     """
     index = ["aqi", *(f"aqi_{n}" for n in measures.SUB_INDICES)]
     rows = files.explode_payload(payload, [*index, *measures.MEASURES])
     rows = tables.drop_future(rows, now) if now else rows
-    rows = rows.withColumns({c: measures.clean_int(F.col(c).cast("double")) for c in index} | {"_ingested_at": F.lit(ingested_at)})
+    audit = {"_ingested_at": F.lit(ingested_at)} | {c: F.lit(v) for c, v in source.items() if c not in payload.columns}
+    rows = rows.withColumns({c: measures.clean_int(F.col(c).cast("double")) for c in index} | audit)
     rows = tables.conform(rows, schemas.READINGS.schema)
     return land_rows(store, tables.latest(rows, list(facts.HOUR_ID), [F.xxhash64(*rows.columns).asc()]), mode)
 

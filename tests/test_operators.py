@@ -111,3 +111,22 @@ def test_stream_upserts_new_files(spark, tmp_path):
         incremental.land_new_files(store, land, table, [F.desc("n")], ck).awaitTermination()
     assert {tuple(r) for r in store.read(table).collect()} == {(1, 2, "a"), (2, 5, "b"), (3, 1, "c"), (4, 1, "b")}
     assert before and all(f.stat().st_mtime_ns == t for f, t in before.items())
+
+
+def test_read_table_by_name_path_and_fallback(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    spark.range(5).createOrReplaceTempView("by_name")
+    assert files.read_table(spark, "by_name").count() == 5
+    assert files.read_table(spark, str(tmp_path / "t")).count() == 3
+    assert files.read_table(spark, "nowhere", str(tmp_path / "t")).count() == 3
+    with pytest.raises(ValueError, match="nowhere"):
+        files.read_table(spark, "nowhere")
+
+
+def test_pollutants_and_full_locations(spark, tmp_path):
+    (tmp_path / "p.jsonl").write_text('{"pollutant_code": "pm25", "display_name": "PM2.5", "unit_default": "u", "aqi_timespan": "24h"}\n{bad\n{"pollutant_code": "dust"}\n')
+    assert sorted(map(tuple, files.read_pollutants(spark, str(tmp_path / "p.jsonl")).collect())) == [("dust", None, None, None), ("pm25", "PM2.5", "u", "24h")]
+    (tmp_path / "l.json").write_text('{\n "locations": [\n  {"id": "a", "name": "Town", "latitude": 1.5, "timezone": "UTC"}\n ]\n}\n')
+    assert [tuple(r) for r in files.read_locations(spark, str(tmp_path / "l.json")).collect()] == [("a", "Town", 1.5, None, "UTC")]
+    (tmp_path / "e.json").write_text("")
+    assert files.read_locations(spark, str(tmp_path / "e.json")).count() == 0

@@ -528,3 +528,24 @@ def dq_schema(s, d):
 def new_data_by_key(s, d):
     rows = fx.clean(s, d)
     return tables.new_data_by_key(rows, rows.filter(fx.OLD), ["location_key"])
+
+
+_DELETED = " UNION ALL ".join(
+    f"SELECT '{name}' AS \"table\", count(*) AS before, count(*) AS deleted, CAST(0 AS BIGINT) AS after FROM {source} WHERE {test}"
+    for name, source, test in (("readings", "clean", f"date_utc {_DAYS}"), ("clean", "clean", f"date_utc {_DAYS}"), ("hourly", "hourly", f"date_utc {_DAYS}"),
+                               ("daily", "daily", "date_key BETWEEN 20240110 AND 20240112"), ("episodes", "episodes", f"start_date {_DAYS} OR CAST(end_ts AS DATE) {_DAYS}"))
+)
+
+
+@query(_DAILY + _episodes(151, 4) + _DELETED)
+def layers_delete_range(s, d):
+    return pipeline.delete_range(_layers(s, d), _FROM, _TO)
+
+
+@query("""SELECT name, n AS source_rows, m AS target_rows, last AS source_latest, mark AS target_latest, CAST(0 AS BIGINT) AS pending, CAST(100 AS DOUBLE) AS savings, 'excellent' AS rating FROM (
+  SELECT 'readings to clean' AS name, count(*) AS n, count(*) AS m, max(ts_utc) AS last, max(ts_utc) AS mark FROM clean
+  UNION ALL SELECT 'clean to hourly', count(*), count(*), max(ts_utc), max(ts_utc) FROM clean
+  UNION ALL SELECT 'hourly to daily', count(*), count(DISTINCT (location_key, date_utc)), CAST(max(date_utc) AS TIMESTAMP), CAST(max(date_utc) AS TIMESTAMP) FROM clean
+  UNION ALL SELECT 'total', 3 * count(*), 2 * count(*) + count(DISTINCT (location_key, date_utc)), max(ts_utc), max(ts_utc) FROM clean) x""")
+def layers_status(s, d):
+    return pipeline.status(_layers(s, d))

@@ -36,8 +36,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     # Written first, so that the join can split a line that a third of all documents hold.
     repeated = materialize(repeated_lines(lines, min_docs), "line-repeated")
     hits = lines.join(repeated, "hash").filter(~F.col("doc_id").eqNullSafe(F.col("keep")))
-    # The positions of one document at most; equal rows give equal positions.
-    hits = materialize(hits.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("drop")), "line-hits").alias("hit")
+    # The positions of one document at most; equal rows give equal positions. They grow with the corpus: joined alike at every size.
+    hits = materialize(hits.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("drop")), "line-hits").hint("merge").alias("hit")
     # Own columns stay in one struct meanwhile, so that their names meet no others.
     whole = docs.select(F.struct(*[named(c) for c in docs.columns if c != "text"]).alias("whole"), "doc_id", "text").alias("doc")
     same = F.col("doc.doc_id").eqNullSafe(F.col("hit.doc_id")) & (F.xxhash64("doc.text") == F.col("hit.text_hash"))

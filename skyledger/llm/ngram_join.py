@@ -28,6 +28,8 @@ from skyledger.llm.words import end, folded, runs, step, with_words
 COMMON = 50
 #: First n-grams of a set that name its buckets among documents of common n-grams.
 BUCKETS = 4
+#: Words of 64 bits of a set's signature, whose bits tell whether an odd number of its n-grams fall on them.
+SIGNATURE = 4
 #: Bits of the map of documents whose texts are wanted, broadcast 64 in a row at any size of the corpus.
 BITS = 1 << 26
 
@@ -65,8 +67,15 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(np.concatenate(parts) if parts else [], pa.int64()))
 
 
+def signature(s: np.ndarray) -> np.ndarray:
+    """Every n-gram turns one bit, so sets differ by no fewer n-grams than their signatures by bits."""
+    odd = np.bincount((s.view(np.uint64) >> np.uint64(32)) % np.uint64(64 * SIGNATURE), minlength=64 * SIGNATURE).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def sketches(docs: DataFrame, n: int, percent: int | None) -> DataFrame:
-    """doc_id, n_shingles, node (64-bit hash that names the set) and entries (the first of the set; all without ``percent``)."""
+    """doc_id, n_shingles, node (64-bit hash that names the set), entries (the first of the set), without ``percent`` all entries
+    and the signature."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -77,15 +86,22 @@ def sketches(docs: DataFrame, n: int, percent: int | None) -> DataFrame:
                 kept = sets if percent is None else [s[: written(len(s), percent)] for s in sets]
                 sizes = pa.array([len(s) for s in sets], pa.int32())
                 nodes = pa.array(np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, len(sets)), sizes, nodes, _lists(kept)], names=["doc_id", "n_shingles", "node", "entries"])
+                columns = [batch.column("doc_id").slice(a, len(sets)), sizes, nodes, _lists(kept)] + ([_lists([signature(s) for s in sets])] if percent is None else [])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "node", "entries", "signature"][: len(columns)])
 
-    return with_words(docs, "doc_id").mapInArrow(rows, "doc_id long, n_shingles int, node long, entries array<long>")
+    schema = "doc_id long, n_shingles int, node long, entries array<long>" + (", signature array<long>" if percent is None else "")
+    return with_words(docs, "doc_id").mapInArrow(rows, schema)
 
 
 def _sizes(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _differences(a: str, b: str) -> Column:
+    """At least so many n-grams are in one of two sets and not in the other."""
+    return sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SIGNATURE)), F.lit(0))
+
+
 def _least_overlap(a: str, b: str, percent: int) -> Column:
     """What two sets of these sizes must share."""
     total = F.col(a) + F.col(b)
@@ -150,10 +166,10 @@ def _some(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _sets_of(nodes: DataFrame, of_node: DataFrame, docs: DataFrame, n: int, name: str) -> DataFrame:
-    """node, n_shingles, entries (the whole set) of ``nodes``, from the text of one document of each. Where rows are repeated
+    """node, n_shingles, entries (the whole set), signature of ``nodes``, from the text of one document of each. Where rows are repeated
     a node may come twice."""
     ids = of_node.join(nodes, "node", "left_semi").select("doc_id")
-    return materialize(sketches(_some(docs, ids), n, None).select("node", "n_shingles", "entries"), name)
+    return materialize(sketches(_some(docs, ids), n, None).select("node", "n_shingles", "entries", "signature"), name)
 
 
 def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
@@ -164,16 +180,15 @@ def bucket_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links of nodes with one member of each bucket: all members of one of the BUCKETS first n-grams are compared with the
     smallest, then, where they are not connected yet, with the largest."""
     keys = sets.select("node", F.explode(F.slice("entries", 1, BUCKETS)).alias("key"))
-    found, labels = None, None
+    found = None
     for take in (F.min, F.max):
-        marked = keys.withColumn("label", F.col("node")) if labels is None else _labelled(keys, labels)
+        marked = keys.withColumn("label", F.col("node")) if found is None else _labelled(keys, components(found))
         hubs = marked.groupBy("key").agg(take(F.struct("node", "label")).alias("hub"), F.min("label").alias("_l"), F.max("label").alias("_h"))
         hubs = materialize(hubs.filter("_l < _h").select("key", "hub"), "ngram-hubs")
         pairs = marked.join(hubs, "key").filter("label <> hub.label")
         pairs = materialize(pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct(), "ngram-hub-pairs")
         new = materialize(linked(pairs, sets, percent), "ngram-hub-links")
         found = new if found is None else found.unionByName(new)
-        labels = components(found)
     return found
 
 
@@ -188,10 +203,14 @@ def rare_links(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     alone = F.col("n") - F.count("*").over(Window.partitionBy("node"))
     nth = alone + F.row_number().over(Window.partitionBy("node").orderBy("df", "gram"))
     rare = materialize(grams.withColumn("nth", nth).filter(F.col("nth") <= _head(F.col("n"), percent)), "ngram-rare")
-    x, y = (rare.select("gram", F.col("node").alias(c), F.col("label").alias(f"l{c}"), F.col("n").alias(f"n{c}"), F.col("nth").alias(f"i{c}")) for c in "ab")
-    # What may still be shared from this n-gram on, in the common order, must reach the overlap.
-    reach = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) + 1 >= _least_overlap("na", "nb", percent)
-    pairs = x.join(y, "gram").filter("a < b and la <> lb").filter(_sizes("na", "nb", percent) & reach).select("a", "b").distinct()
+    # The signatures come last, to the few entries that are left.
+    rare = materialize(rare.join(sets.select("node", "signature"), "node"), "ngram-rare-signed")
+    x, y = (rare.select("gram", *[F.col(k).alias(f"{v}{c}") for k, v in {"node": "", "label": "l", "n": "n", "nth": "i", "signature": "s"}.items()]) for c in "ab")
+    # What may still be shared from this n-gram on, in the common order, must reach the overlap; what differs must stay under it.
+    least = _least_overlap("na", "nb", percent)
+    reach = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) + 1 >= least
+    alike = _differences("sa", "sb") <= F.col("na") + F.col("nb") - 2 * least
+    pairs = x.join(y, "gram").filter("a < b and la <> lb").filter(_sizes("na", "nb", percent) & reach & alike).select("a", "b").distinct()
     return materialize(linked(materialize(pairs, "ngram-rare-pairs"), sets, percent), "ngram-rare-links")
 
 
@@ -241,7 +260,7 @@ def jaccard_links(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> Da
     free_shuffles(docs.sparkSession)
     found = connected(pairs, used, percent, found)
     release(used)
-    return found.unionByName(rare_links(dense, components(found), percent))
+    return found if dense.isEmpty() else found.unionByName(rare_links(dense, components(found), percent))
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

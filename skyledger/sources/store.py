@@ -61,7 +61,7 @@ class Store:
         out = (out.hint("rebalance", *table.by) if table.by else out).write.mode(mode).option("compression", "zstd")
         out = out.option("partitionOverwriteMode", "dynamic") if table.by and mode == "overwrite" else out
         out.partitionBy(*table.by).parquet(self.path(table))
-        return int(seen.get["rows"])
+        return int(seen.get.get("rows", 0))
 
     def append(self, table: Table, df: DataFrame) -> int:
         return self._write(df, table, "append")
@@ -70,7 +70,7 @@ class Store:
         """The whole table becomes ``df``, which may read it."""
         rows = Observation()
         files.overwrite(tables.conform(df, table.schema).observe(rows, F.count(F.lit(1)).alias("rows")), self.path(table), *table.by)
-        return int(rows.get["rows"])
+        return int(rows.get.get("rows", 0))
 
     def truncate(self, table: Table) -> int:
         """Rows removed; the table stays, empty."""

@@ -7,10 +7,11 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions import calendar
+from skyledger.operators import segments
 
 #: The features of the forecast.
 FEATURES = ("pm25", "pm10", "o3", "no2", "so2", "co", "aod", "dust", "uv_index", "hour_sin", "hour_cos", "dow_sin", "dow_cos")
@@ -19,7 +20,7 @@ FEATURES = ("pm25", "pm10", "o3", "no2", "so2", "co", "aod", "dust", "uv_index",
 def lead_label(df: DataFrame, column: str, ahead: int, clock: bool = False) -> DataFrame:
     """``label``: the value ``ahead`` rows later in the location, or with ``clock`` that many hours later; null where there is none."""
     if not clock:
-        return df.withColumn("label", F.lead(column, ahead).over(Window.partitionBy("location_key").orderBy("ts_utc")))
+        return segments.with_lead(df, column, ahead, "label")
     later = df.select("location_key", (F.col("ts_utc") - F.expr(f"interval {int(ahead)} hours")).alias("ts_utc"), F.col(column).alias("label"))
     return df.join(later, ["location_key", "ts_utc"], "left")
 
@@ -51,7 +52,7 @@ def chronological_split(df: DataFrame, ratio: float = 0.8) -> tuple[DataFrame, D
 
 
 def with_rank(df: DataFrame) -> DataFrame:
-    return df.withColumn("rank_pct", F.percent_rank().over(Window.partitionBy("location_key").orderBy("ts_utc")))
+    return segments.with_percent_rank(df, "rank_pct")
 
 
 def fit(train: DataFrame, seed: int = 42, grid: dict | None = None, parallelism: int = 2) -> PipelineModel:

@@ -60,10 +60,11 @@ def layer_status(source: DataFrame, target: DataFrame, name: str, source_ts: str
     mark: Any = last.first()["target_latest"]
     later = F.col(source_ts) > F.lit(mark) if mark is not None else F.lit(True)
     rows = source.agg(F.count("*").alias("source_rows"), F.max(source_ts).alias("source_latest"), F.count_if(later).alias("pending"))
-    return _rated(rows.join(F.broadcast(last)).select(F.lit(name).alias("name"), "*"))  # one row each
+    return rated(rows.join(F.broadcast(last)).select(F.lit(name).alias("name"), "*"))  # one row each
 
 
-def _rated(rows: DataFrame) -> DataFrame:
+def rated(rows: DataFrame) -> DataFrame:
+    """name, source_rows, target_rows, source_latest, target_latest, pending with savings and rating."""
     share = 100 * (F.col("source_rows") - F.col("pending")).cast("double") / F.nullif("source_rows", F.lit(0))
     rating = reduce(lambda c, r: c.when(share >= r[0], r[1]), RATINGS, F.when(share.isNull(), "poor")).otherwise("poor")
     latest = [F.col(c).cast("timestamp").alias(c) for c in ("source_latest", "target_latest")]
@@ -74,4 +75,4 @@ def status_total(layers: list[DataFrame]) -> DataFrame:
     """Rows of ``layer_status`` and one more, named total."""
     each = union(layers)
     sums = each.agg(*[F.sum(c).alias(c) for c in ("source_rows", "target_rows", "pending")], F.max("source_latest").alias("source_latest"), F.max("target_latest").alias("target_latest"))
-    return each.unionByName(_rated(sums.withColumn("name", F.lit("total"))))
+    return each.unionByName(rated(sums.withColumn("name", F.lit("total"))))

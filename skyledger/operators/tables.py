@@ -22,7 +22,7 @@ def in_range(column: str, start: Any = None, end: Any = None) -> Column:
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
-def _same(a: str, b: str, keys: list[str]) -> Column:
+def same(a: str, b: str, keys: list[str]) -> Column:
     return reduce(lambda x, y: x & y, [F.col(f"{a}.{k}") == F.col(f"{b}.{k}") for k in keys])
 
 
@@ -33,13 +33,13 @@ def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """``target`` with the rows of ``source``, which win at equal keys. Keys of ``source`` must be unique; null keys never match."""
-    rest = target.alias("t").join(source.select(*keys).alias("s"), _same("t", "s", keys), "left_anti")
+    rest = target.alias("t").join(source.select(*keys).alias("s"), same("t", "s", keys), "left_anti")
     return rest.unionByName(source)
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """``target`` with those rows of ``source`` whose keys it lacks."""
-    return target.unionByName(source.alias("s").join(target.select(*keys).alias("t"), _same("s", "t", keys), "left_anti"))
+    return target.unionByName(source.alias("s").join(target.select(*keys).alias("t"), same("s", "t", keys), "left_anti"))
 
 
 def delete_where(target: DataFrame, gone: Column) -> DataFrame:

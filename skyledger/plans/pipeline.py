@@ -1,6 +1,7 @@
 """The layers from readings to facts as library calls: land, clean, dimensions, hourly, daily, episodes, deletes, training.
 
-A build is a pure transform, in ``operators``, and a write, here. Full builds write all, incremental ones what is new; a
+A build is a pure transform, in ``operators``, and a write, here. Full builds write all; incremental ones the locations and
+days that the store's log says have changed in the source since the stage last ran, in whatever order their rows came; a
 range of days replaces the rows of these days and no others.
 """
 
@@ -10,7 +11,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,7 @@ from skyledger.functions import calendar, measures
 from skyledger.operators import facts, forecast, reports, tables
 from skyledger.schemas import Table
 from skyledger.sources import files
-from skyledger.sources.store import Store
+from skyledger.sources.store import Changes, Store
 
 FULL, INCREMENTAL = "full", "incremental"
 
@@ -64,15 +65,17 @@ def land(store: Store, payload: DataFrame, ingested_at: datetime, now: datetime
 
 def land_rows(store: Store, rows: DataFrame, mode: str = "insert") -> Result:
     began = time.time()
-    span = rows.agg(F.min("date_utc").alias("a"), F.max("date_utc").alias("b")).first()
-    if span["a"] is None:
-        return Result("land", mode, "empty")
-    if mode == "replace":
-        keys = [r[0] for r in rows.select("location_key").distinct().collect()]  # one a location
-        n = store.replace(schemas.READINGS, F.col("location_key").isin(keys) & tables.in_range("date_utc", span["a"], span["b"]), rows)
-    else:
-        n = store.merge(schemas.READINGS, rows, update=mode == "upsert")
-    return Result("land", mode, "done", n, span["a"], span["b"], round(time.time() - began, 3))
+    with store.staging(tables.conform(rows, schemas.READINGS.schema)) as new:
+        span = new.rows.agg(F.min("date_utc").alias("a"), F.max("date_utc").alias("b")).first()
+        if not new.n:
+            return Result("land", mode, "empty")
+        if mode == "replace":
+            held = store.read(schemas.READINGS).filter(tables.in_range("date_utc", span["a"], span["b"])).select("location_key", "date_utc").distinct()
+            with store.staging(held.join(new.rows.select("location_key").distinct(), "location_key", "left_semi")) as gone:
+                n = store.replace(schemas.READINGS, gone, new.rows)
+        else:
+            n = store.merge(schemas.READINGS, new.rows, update=mode == "upsert")
+    return Result("land", mode, "done" if n else "empty", n, span["a"], span["b"], round(time.time() - began, 3))
 
 
 def backfill_requests(locations: DataFrame, start: date, end: date, days: int = 90) -> DataFrame:
@@ -88,25 +91,27 @@ def current_requests(store: Store, locations: DataFrame, today: date) -> DataFra
 
 
 def _build(store: Store, stage: str, table: Table, source: Table, make: Callable[[DataFrame], DataFrame], mode: str, start: date | None, end: date | None) -> Result:
-    """Hours or days of ``source`` in a range, or after what ``table`` has, made into rows of ``table``."""
-    began, rows = time.time(), store.read(source)
-    ranged = start is not None or end is not None
-    if mode == INCREMENTAL and not ranged:
-        mark = store.read(table).agg(F.max("date_utc")).first()[0]
-        # The last day that is there may have grown since, so it is made again.
-        found = rows.filter(tables.in_range("date_utc", mark)).agg(F.min("date_utc").alias("a"), F.max("date_utc").alias("b")).first()
-        start, end = found["a"], found["b"]
-        if start is None:
-            return Result(stage, mode, "empty", seconds=round(time.time() - began, 3))
-    days = tables.in_range("date_utc", start, end)
-    new = tables.conform(make(rows.filter(days)), table.schema)
-    if mode == FULL and not ranged:
-        n = store.overwrite(table, new)
-    elif mode == FULL:
-        n = store.replace(table, days, new)
+    """Rows of ``table`` made from those of ``source``: in a range of days, or of all locations and days that changed since the
+    stage last ran, whenever their rows came. A location's day is made whole, so rows that are gone go here too."""
+    began = time.time()
+    ranged, made = start is not None or end is not None, lambda rows: tables.conform(make(rows), table.schema)
+    done = lambda n, a, b: Result(stage, mode, "done" if n else "empty", n, a, b, round(time.time() - began, 3))
+    if ranged:
+        days = tables.in_range("date_utc", start, end)
+        new = made(store.read(source).filter(days))
+        return done(store.replace(table, days, new) if mode == FULL else store.merge(table, new), start, end)
+    changed = store.changes(source, None if mode == FULL else store.frontier(stage, source))
+    if changed is None:
+        return done(0, None, None)
+    if changed.everything:
+        n = store.overwrite(table, made(store.read(source)))
     else:
-        n = store.merge(table, new)
-    return Result(stage, mode, "done" if n else "empty", n, start, end, round(time.time() - began, 3))
+        with store.staging(changed.where) as where:
+            span = where.rows.agg(F.min("date_utc").alias("a"), F.max("date_utc").alias("b")).first()
+            start, end = span["a"], span["b"]
+            n = store.replace(table, where, made(store.matching(source, where)))
+    store.advance(stage, source, changed.upto)
+    return done(n, start, end)
 
 
 def clean_rows(readings: DataFrame) -> DataFrame:
@@ -122,9 +127,9 @@ def daily_rows(hours: DataFrame) -> DataFrame:
     return named.withColumn("daily_record_id", measures.stable_id(F.col("location_key"), F.date_format("date_utc", "yyyyMMdd")))
 
 
-def episode_rows(hours: DataFrame, threshold: int = 151, min_hours: int = 4, break_on_gap: bool = False) -> DataFrame:
-    found = facts.episodes(hours, threshold, min_hours, break_on_gap)
-    found = found.withColumnsRenamed({"start_ts": "start_ts_utc", "end_ts": "end_ts_utc", "start_date": "start_date_utc"})
+def episode_rows(found: DataFrame, threshold: int = 151, min_hours: int = 4) -> DataFrame:
+    """Rows of the table from runs over days."""
+    found = facts.long_runs(found, threshold, min_hours).withColumnsRenamed({"start_ts": "start_ts_utc", "end_ts": "end_ts_utc", "start_date": "start_date_utc"})
     return found.withColumn("episode_id", measures.stable_id(F.col("location_key"), F.date_format("start_ts_utc", "yyyyMMddHH"), F.col("rule_code")))
 
 
@@ -140,24 +145,113 @@ def build_daily(store: Store, mode: str = INCREMENTAL, start: date | None = None
     return _build(store, "daily", schemas.DAILY, schemas.HOURLY, daily_rows, mode, start, end)
 
 
+#: Days that are looked at around changed ones before more are.
+REACH_DAYS = 8
+
+
+def _around(store: Store, where: DataFrame, first: date | None, last: date | None) -> DataFrame:
+    """location_key, after, until (null: open): the hours between which runs may have changed, of each location in ``where``.
+
+    A day that a run does not fill from its first to its last known hour parts what lies before from what lies behind. So the
+    nearest such days on both sides are looked for, in the summaries of REACH_DAYS around the changed days, then of four
+    times as many for the locations where that was not enough, at most to ``first`` and ``last``, the ends of the table.
+    """
+    rest = where.filter("date_utc is not null").groupBy("location_key").agg(F.min("date_utc").alias("a"), F.max("date_utc").alias("b"))
+    ends, reach, found = rest.agg(F.min("a").alias("a"), F.max("b").alias("b")).first(), REACH_DAYS, []
+    while ends["a"] is not None:
+        low, high = ends["a"] - timedelta(days=reach), ends["b"] + timedelta(days=reach)
+        seen = files.kept(_parted(store, rest, low, high), "around")
+        # Where the table has no more days there is nothing to part from.
+        enough = (F.col("after").isNotNull() | F.lit(first is None or low <= first)) & (F.col("until").isNotNull() | F.lit(last is None or high >= last))
+        found.append(seen.filter(enough).select("location_key", "after", "until"))
+        rest = seen.filter(~enough).select("location_key", "a", "b")
+        ends, reach = rest.agg(F.min("a").alias("a"), F.max("b").alias("b")).first(), 4 * reach
+    return reports.union(found) if found else store.spark.createDataFrame([], "location_key string, after timestamp, until timestamp")
+
+
+def _parted(store: Store, spans: DataFrame, low: date, high: date) -> DataFrame:
+    """``spans`` (location_key, a, b) with after and until, by the nearest parting days before a and behind b, from ``low`` to ``high``."""
+    days = store.read(schemas.DAY_RUNS).filter(tables.in_range("date_utc", low, high)).withColumns({"_first": F.get("runs", F.lit(0)), "_last": F.try_element_at("runs", F.lit(-1))})
+    fills = F.col("first_flag") & F.col("last_flag") & (F.size("runs") == 1)
+    # Its first run may have begun before, its last one may go on: what lies behind the one and before the other is its own.
+    after = F.when(F.col("first_flag"), F.col("_first.end_ts")).otherwise(F.timestamp_add("SECOND", F.lit(-1), F.col("first_ts")))
+    until = F.when(F.col("last_flag"), F.col("_last.start_ts")).otherwise(F.timestamp_add("SECOND", F.lit(1), F.col("last_ts")))
+    days = days.filter(~fills).select("location_key", "date_utc", after.alias("after"), until.alias("until"))
+    near = spans.alias("s").join(days.alias("d"), F.col("s.location_key").eqNullSafe(F.col("d.location_key")), "left").groupBy("s.location_key", "s.a", "s.b")
+    return near.agg(
+        F.max_by("d.after", F.when(F.col("d.date_utc") < F.col("s.a"), F.col("d.date_utc"))).alias("after"),
+        F.min_by("d.until", F.when(F.col("d.date_utc") > F.col("s.b"), F.col("d.date_utc"))).alias("until"),
+    )
+
+
 def build_episodes(store: Store, mode: str = INCREMENTAL, start: date | None = None, end: date | None = None, threshold: int = 151, min_hours: int = 4, break_on_gap: bool = False) -> Result:
-    """A run may begin long before a range, so all episodes of a location that has hours in it are made again and replaced."""
-    began, hours = time.time(), store.read(schemas.HOURLY)
-    touched = hours.filter(tables.in_range("date_utc", start, end)).select("location_key").distinct()
-    new = tables.conform(episode_rows(hours.join(touched, "location_key", "left_semi"), threshold, min_hours, break_on_gap), schemas.EPISODES.schema)
-    if mode == FULL and start is None and end is None:
-        n = store.overwrite(schemas.EPISODES, new)
+    """Episodes from summaries of days, which are kept: changed days are summed up anew, and of their locations the runs that
+    touch them or the days next to them are joined again. Other days of hours are not read.
+
+    With a range all runs that may touch its days are made anew. Another rule than last time makes everything anew.
+    """
+    began, table, days = time.time(), schemas.EPISODES, schemas.DAY_RUNS
+    rule = f"{threshold}_{min_hours}_{int(break_on_gap)}"
+    ranged = start is not None or end is not None
+    made = lambda runs: tables.conform(episode_rows(facts.joined_runs(runs, break_on_gap), threshold, min_hours), table.schema)
+    mark = store.frontier("episodes", schemas.HOURLY, rule)
+    changed = store.changes(schemas.HOURLY, None if mode == FULL and not ranged else mark)
+    done = lambda n, a, b: Result("episodes", mode, "done" if n else "empty", n, a, b, round(time.time() - began, 3))
+    if ranged and mark is not None and not (changed and changed.everything):
+        hours = store.read(schemas.HOURLY).filter(tables.in_range("date_utc", start, end)).select("location_key", "date_utc").distinct()
+        gone = store.read(days).filter(tables.in_range("date_utc", start, end)).select("location_key", "date_utc")
+        where = reports.union([hours, gone, *([changed.where] if changed else [])]).distinct()
+        changed = Changes(changed.upto if changed else mark, False, where)
+    if changed is None:
+        return done(0, None, None)
+    if changed.everything:
+        store.overwrite(days, facts.day_runs(store.read(schemas.HOURLY), threshold, break_on_gap))
+        n = store.overwrite(table, made(store.read(days)))
     else:
-        keys = [r[0] for r in touched.collect()]  # one a location
-        n = store.replace(schemas.EPISODES, F.col("location_key").isin(keys), new) if keys else 0
-    return Result("episodes", mode, "done" if n else "empty", n, start, end, round(time.time() - began, 3))
+        with store.staging(changed.where) as where:
+            span = where.rows.agg(F.min("date_utc").alias("a"), F.max("date_utc").alias("b")).first()
+            start, end = (span["a"], span["b"]) if not ranged else (start, end)
+            store.replace(days, where, facts.day_runs(store.matching(schemas.HOURLY, where), threshold, break_on_gap))
+            n = _rejoin(store, where.rows, made)
+    store.advance("episodes", schemas.HOURLY, changed.upto, rule)
+    return done(n, start, end)
+
+
+def _rejoin(store: Store, where: DataFrame, made: Callable[[DataFrame], DataFrame]) -> int:
+    """Makes the runs around changed days anew in the episodes; rows written."""
+    table, days = schemas.EPISODES, schemas.DAY_RUNS
+    with store.staging(_around(store, where, store.first_day(days), store.latest_day(days))) as spans:
+        if not spans.n:
+            return 0
+        ends = spans.rows.agg(F.min("after").alias("a"), F.max("until").alias("b"), F.count_if(F.col("after").isNull()).alias("from"), F.count_if(F.col("until").isNull()).alias("to")).first()
+        low, high = None if ends["from"] else ends["a"].date() - timedelta(days=1), None if ends["to"] else ends["b"].date()
+        same = F.col("r.location_key").eqNullSafe(F.col("s.location_key"))
+        inside = lambda ts: (F.col("after").isNull() | (ts > F.col("after"))) & (F.col("until").isNull() | (ts < F.col("until")))
+        near = store.read(days).filter(tables.in_range("date_utc", low, high)).alias("r").join(spans.hinted(spans.rows).alias("s"), same).select("r.*", "after", "until")
+        runs = F.filter("runs", lambda x: inside(x["start_ts"]))
+        # A run that is left out here is left whole: its day then begins or ends without a flag.
+        cut = near.withColumns({"_kept": runs, "_n": F.size("runs")}).withColumns({
+            "first_flag": F.col("first_flag") & (F.get("_kept", F.lit(0))["start_ts"] == F.get("runs", F.lit(0))["start_ts"]),
+            "last_flag": F.col("last_flag") & (F.try_element_at("_kept", F.lit(-1))["start_ts"] == F.try_element_at("runs", F.lit(-1))["start_ts"]),
+        }).withColumns({"runs": F.col("_kept"), "first_flag": F.coalesce("first_flag", F.lit(False)), "last_flag": F.coalesce("last_flag", F.lit(False))})
+        new = made(cut.select(*days.schema.names))
+        old = store.read(table).filter(tables.in_range("start_date_utc", low, high)).alias("r").join(spans.hinted(spans.rows).alias("s"), same & inside(F.col("r.start_ts_utc")), "left_semi")
+        with store.staging(old.select("start_date_utc", "location_key", "start_ts_utc")) as gone:
+            return store.replace(table, gone, new)
 
 
 def build_dim_date(store: Store, mode: str = INCREMENTAL) -> Result:
-    began = time.time()
-    dates = calendar.dim_date(store.read(schemas.CLEAN))
-    n = store.overwrite(schemas.DIM_DATE, dates) if mode == FULL else store.merge(schemas.DIM_DATE, dates.join(store.read(schemas.DIM_DATE), "date_key", "left_anti"), update=False)
-    return Result("dim_date", mode, "done" if n else "empty", n, seconds=round(time.time() - began, 3))
+    """The dates of the clean rows: all, or with those that came since the last run added."""
+    began, stage, n = time.time(), "dim_date", 0
+    changed = store.changes(schemas.CLEAN, None if mode == FULL else store.frontier(stage, schemas.CLEAN))
+    if changed and changed.everything:
+        n = store.overwrite(schemas.DIM_DATE, calendar.dim_date(store.read(schemas.CLEAN)))
+    elif changed:
+        with store.staging(changed.where.select("date_utc").distinct()) as where:
+            n = store.merge(schemas.DIM_DATE, calendar.dim_date(store.matching(schemas.CLEAN, where).select("date_utc")), update=False)
+    if changed:
+        store.advance(stage, schemas.CLEAN, changed.upto)
+    return Result(stage, mode, "done" if n else "empty", n, seconds=round(time.time() - began, 3))
 
 
 def build_dimension(store: Store, table: Table, rows: DataFrame) -> Result:
@@ -238,6 +332,11 @@ def _range_of(table: Table, start: date, end: date, overlap: bool = False) -> Co
     return days & tables.in_range("date_key", int(start.strftime("%Y%m%d")), int(end.strftime("%Y%m%d"))) if table is schemas.DAILY else days
 
 
+def _count(store: Store, table: Table, rows: Column) -> int:
+    """Of rows in a range of days; from footers where the range is one of partitions."""
+    return store.count(table, rows) if table.logged else store.read(table).filter(rows).count()
+
+
 RANGED = {"readings": schemas.READINGS, "clean": schemas.CLEAN, "hourly": schemas.HOURLY, "daily": schemas.DAILY, "episodes": schemas.EPISODES}
 
 
@@ -252,21 +351,36 @@ def delete_range(store: Store, start: date, end: date, layers: Iterable[str] = t
     for name in layers:
         table = RANGED[name]
         gone = _range_of(table, start, end, overlap)
-        before = store.read(table).filter(gone).count()
+        before = _count(store, table, gone)
         deleted = 0 if dry_run or not before else store.delete(table, gone)
-        rows.append((name, before, deleted, store.read(table).filter(gone).count()))
+        rows.append((name, before, deleted, _count(store, table, gone)))
     for table in schemas.DIMENSIONS if dimensions else ():
-        before = store.read(table).count()
+        before = store.count(table)
         deleted = 0 if dry_run or not before else store.truncate(table)
-        rows.append((table.name, before, deleted, store.read(table).count()))
+        rows.append((table.name, before, deleted, store.count(table)))
     return store.spark.createDataFrame(rows, "table string, before long, deleted long, after long")
 
 
+def _layer_status(store: Store, source: Table, target: Table) -> DataFrame:
+    """As ``reports.layer_status``, from footers and names of folders; rows are read of the one day that both may share."""
+    name, by_day = f"{source.name} to {target.name}", target.clock == "date_utc"
+    rows, mark = store.count(source), store.latest(target)
+    if mark is None:
+        pending = rows
+    elif by_day:
+        pending = store.count(source, F.col("date_utc") > F.lit(mark))
+    else:
+        day = F.lit(mark.date())
+        pending = store.count(source, F.col("date_utc") > day) + store.read(source).filter((F.col("date_utc") == day) & (F.col(source.clock) > F.lit(mark))).count()
+    values = (name, rows, store.count(target), store.latest_day(source) if by_day else store.latest(source), mark, pending)
+    kind = "date" if by_day else "timestamp"
+    return reports.rated(store.spark.createDataFrame([values], f"name string, source_rows long, target_rows long, source_latest {kind}, target_latest {kind}, pending long"))
+
+
 def status(store: Store) -> DataFrame:
     """How far each layer is behind its source, and in total."""
     pairs = ((schemas.READINGS, schemas.CLEAN), (schemas.CLEAN, schemas.HOURLY), (schemas.HOURLY, schemas.DAILY))
-    clock = lambda source, target: "date_utc" if target is schemas.DAILY else source.clock
-    return reports.status_total([reports.layer_status(store.read(s), store.read(t), f"{s.name} to {t.name}", clock(s, t), t.clock) for s, t in pairs])
+    return reports.status_total([_layer_status(store, s, t) for s, t in pairs])
 
 
 def record_run(store: Store, values: dict[str, dict[str, object]], at: datetime, run_id: str | None = None) -> str:

@@ -156,23 +156,44 @@ def daily_fact(s, d):
     return _rounded(facts.daily(fx.hourly(s, d)))
 
 
-def _layers(s, d):
-    """The layers, written from readings that arrive in two parts; the second part is built incrementally."""
+def _built(s, *parts, mode="insert"):
+    """The layers, written from readings that arrive in ``parts``; all but the first are built incrementally."""
     store = Store(s, files.scratch(s, "layers"))
-    rows = fx.readings(s, d).withColumn("_ingested_at", F.col("ingested_at"))
-    rows = tables.latest(rows, KEYS, [F.desc("ingested_at"), F.desc("event_id")])
-    old = F.expr(fx.OLD)
-    for part in (rows.filter(old), rows.filter(~old)):
-        report = pipeline.run_pipeline(store, arrived=lambda p=part: pipeline.land_rows(store, p)).filter("status = 'failed'").collect()
+    for part in parts:
+        report = pipeline.run_pipeline(store, arrived=lambda p=part: pipeline.land_rows(store, p, mode)).filter("status = 'failed'").collect()
         if report:
             raise RuntimeError(str(report))
     return store
 
 
+def _landed(s, d):
+    rows = fx.readings(s, d).withColumn("_ingested_at", F.col("ingested_at"))
+    return tables.latest(rows, KEYS, [F.desc("ingested_at"), F.desc("event_id")])
+
+
+def _layers(s, d):
+    rows, old = _landed(s, d), F.expr(fx.OLD)
+    return _built(s, rows.filter(old), rows.filter(~old))
+
+
+def _daily(store):
+    daily = store.read(schemas.DAILY).withColumnsRenamed({f"hours_in_cat_{b}": f"{b}_hours" for b in measures.BANDS})
+    return _rounded(daily.drop("daily_record_id")).withColumns({c: F.col(c).cast("long") for c in ("hours_measured", *(f"{b}_hours" for b in measures.BANDS))})
+
+
 @query(_DAILY + _ROUNDED)
 def pipeline_daily_from_raw(s, d):
-    daily = _layers(s, d).read(schemas.DAILY).withColumnsRenamed({f"hours_in_cat_{b}": f"{b}_hours" for b in measures.BANDS})
-    return _rounded(daily.drop("daily_record_id")).withColumns({c: F.col(c).cast("long") for c in ("hours_measured", *(f"{b}_hours" for b in measures.BANDS))})
+    return _daily(_layers(s, d))
+
+
+@query(_DAILY + _ROUNDED)
+def pipeline_late_rows(s, d):
+    """First all but one location and one week, with wrong values on some days; then what was left out and what is right."""
+    rows = _landed(s, d)
+    late = (F.col("location_key") == "click") | F.col("date_utc").between("2024-01-08", "2024-01-14")
+    wrong = F.dayofmonth("date_utc") % 5 == 0
+    early = rows.filter(~late).withColumn("aqi", F.when(wrong, F.col("aqi") + 100).otherwise(F.col("aqi")))
+    return _daily(_built(s, early, rows.filter(late | wrong), mode="upsert"))
 
 
 @query("SELECT location_key, date_utc, arg_min(dominant_pollutant, struct_pack(a := -coalesce(aqi, -1), t := ts_utc)) FILTER (WHERE dominant_pollutant IS NOT NULL) AS dominant_pollutant_daily FROM hourly GROUP BY ALL")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,43 @@ def remove(spark: SparkSession, path: str) -> None:
         raise OSError(f"{path} cannot be removed")
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Of what lies in a folder; none where there is no folder."""
+    fs, at = _at(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def size(spark: SparkSession, path: str) -> int:
+    fs, at = _at(spark, path)
+    return fs.getContentSummary(at).getLength()
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Settings of the session (dots as __) while the block runs."""
+    values = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def counted(seen: Observation) -> int:
+    """The observed number of rows. Where the plan turned out to be empty Spark drops the observation with it."""
+    try:
+        return int(seen.get.get("rows", 0))
+    except Py4JJavaError:
+        return 0
+
+
+#: Timestamps that have statistics in the files, so that scans skip by time and maxima need no data.
+MICROS = {"spark__sql__parquet__outputTimestampType": "TIMESTAMP_MICROS"}
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share; it goes when the application ends."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -48,6 +87,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to scratch and read back: its lineage ends there."""
+    path = scratch(df.sparkSession, name)
+    with settings(df.sparkSession, **MICROS):
+        df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, name: str, fallback: str | None = None) -> DataFrame:
     """A catalog table, or a parquet path; ``fallback`` is a path for where neither is found."""
     if "/" not in name and spark.catalog.tableExists(name):
@@ -111,7 +158,8 @@ def overwrite(df: DataFrame, path: str, *by: str) -> None:
     """
     spark = df.sparkSession
     mark = uuid.uuid4().hex
-    df.write.partitionBy(*by).option("compression", "zstd").parquet(f"{path}.new-{mark}")
+    with settings(spark, **MICROS):
+        df.write.partitionBy(*by).option("compression", "zstd").parquet(f"{path}.new-{mark}")
     fs, at = _at(spark, path)
     new, old = (_at(spark, f"{path}.{k}-{mark}")[1] for k in ("new", "old"))
     had = fs.exists(at)
@@ -145,7 +193,7 @@ def export_csv(spark: SparkSession, tables: dict[str, str], out: str) -> DataFra
         try:
             seen = Observation()
             write_csv(spark.read.parquet(path).observe(seen, F.count(F.lit(1)).alias("rows")), f"{out.rstrip('/')}/{name}")
-            report.append((name, int(seen.get["rows"]), "ok", None))
+            report.append((name, counted(seen), "ok", None))
         except Exception as e:  # one bad table does not stop the others
             report.append((name, 0, "failed", str(e)[:500]))
     return spark.createDataFrame(report, "table string, rows long, status string, error string")

@@ -105,7 +105,7 @@ def test_forecast_end_to_end(spark):
 def test_stream_upserts_new_files(spark, tmp_path):
     land, ck = str(tmp_path / "land"), str(tmp_path / "ck")
     store, table = Store(spark, str(tmp_path / "root")), Table("bronze", "t", "k int, n int, day string", ("k",), ("day",))
-    for rows in ([(1, 1, "a"), (1, 2, "a"), (2, 1, "b"), (3, 1, "c")], [(2, 5, "b"), (4, 1, "b")]):
+    for rows in ([(1, 1, "a"), (1, 2, "a"), (2, 1, "b"), (3, 1, "c")], [(2, 5, "b"), (4, 1, "b")], [(2, 3, "b")]):
         spark.createDataFrame(rows, table.ddl).write.mode("append").parquet(land)
         before = {f: f.stat().st_mtime_ns for f in (tmp_path / "root").rglob("*.parquet") if "day=a" in str(f)}
         incremental.land_new_files(store, land, table, [F.desc("n")], ck).awaitTermination()

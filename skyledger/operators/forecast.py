@@ -7,11 +7,12 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions import calendar
 from skyledger.operators import segments
+from skyledger.sources import files
 
 #: The features of the forecast.
 FEATURES = ("pm25", "pm10", "o3", "no2", "so2", "co", "aod", "dust", "uv_index", "hour_sin", "hour_cos", "dow_sin", "dow_cos")
@@ -30,19 +31,62 @@ def sample_to_size(df: DataFrame, size: int, seed: int = 42) -> DataFrame:
     return df if n <= size else df.sample(size / n, seed=seed)
 
 
+#: Parts into which a range of hashes is cut at a time, and hashes that reach the driver at the end.
+_CUTS = 4096
+
+
+def block_hash(seed: int, unit: str) -> Column:
+    """Below 2**60; rows of one location and one ``unit`` of time have one hash."""
+    block = F.concat_ws("#", F.lit(str(seed)), F.coalesce("location_key", F.lit("")), F.coalesce(F.date_format(F.date_trunc(unit, "ts_utc"), "yyyy-MM-dd HH"), F.lit("")))
+    return F.conv(F.substring(F.md5(block), 1, 15), 16, 10).cast("long")
+
+
+def sample_blocks(df: DataFrame, size: int, seed: int = 42, unit: str = "week") -> DataFrame:
+    """About ``size`` rows: whole blocks of a location and a ``unit`` of time, so that series stay series.
+
+    Blocks are taken in the order of a hash of ``seed``, location and time, up to that number of them, one at least, whose
+    rows come nearest to ``size``: half a block off at most. Where all rows are fewer all are taken. The hash to stop at is found from sums
+    over _CUTS parts of the range that is left; no list of blocks reaches the driver but the last part's.
+    """
+    h = block_hash(seed, unit)
+    blocks = files.kept(df.groupBy(h.alias("h")).agg(F.count("*").alias("n")), "blocks")
+    low, bits, before = 0, 60, 0
+    while bits:
+        inside = blocks.filter((F.col("h") >= low) & (F.col("h") < low + (1 << bits)))
+        few = [tuple(r) for r in inside.orderBy("h").limit(_CUTS + 1).collect()]
+        if len(few) <= _CUTS:
+            break
+        bits -= 12
+        parts = inside.groupBy(F.shiftright(F.col("h") - low, bits).alias("part")).agg(F.sum("n").alias("n"))
+        for part, n in sorted(tuple(r) for r in parts.collect()):  # _CUTS rows
+            if before + n >= size:
+                break
+            before += n
+        else:
+            return df
+        low += part << bits
+    at, stop = before, low - 1
+    for nth, n in few:
+        if at + n - size > size - at and at:
+            break
+        at, stop = at + n, nth
+    return df.filter(h <= stop)
+
+
 def as_timestamp(df: DataFrame, column: str = "ts_utc") -> DataFrame:
     """``column`` as a timestamp, whatever it was."""
     return df if dict(df.dtypes)[column] == "timestamp" else df.withColumn(column, F.to_timestamp(column))
 
 
 def supervised(df: DataFrame, ahead: int = 6, column: str = "pm25", min_rows: int = 0, sample: int = 0, seed: int = 42) -> DataFrame:
-    """Rows with every base feature and a label, with time features; about ``sample`` of them, if set, taken once labels are known."""
+    """Rows with every base feature and a label, with time features; about ``sample`` of them, if set, in whole location weeks
+    taken once labels are known."""
     df = as_timestamp(df)
     base = [f for f in FEATURES if f in df.columns]
     rows = lead_label(df.dropna(subset=[column]), column, ahead).dropna(subset=[*base, "label"])
     if min_rows and rows.limit(min_rows).count() < min_rows:
         raise ValueError(f"fewer than {min_rows} rows to learn from")
-    rows = sample_to_size(rows, sample, seed) if sample else rows
+    rows = sample_blocks(rows, sample, seed) if sample else rows
     return rows.withColumns(calendar.cyclic(F.col("ts_utc")))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Iterable
+from contextlib import ExitStack
 from dataclasses import asdict, dataclass
 from datetime import date, datetime, timedelta
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from skyledger import schemas
 from skyledger.functions import calendar, measures
-from skyledger.operators import facts, forecast, reports, tables
+from skyledger.operators import checks, facts, forecast, reports, tables
 from skyledger.schemas import Table
 from skyledger.sources import files
 from skyledger.sources.store import Changes, Store
@@ -254,6 +255,36 @@ def build_dim_date(store: Store, mode: str = INCREMENTAL) -> Result:
     return Result(stage, mode, "done" if n else "empty", n, seconds=round(time.time() - began, 3))
 
 
+def validate(store: Store, gate: checks.Gate, at: datetime, source: Table = schemas.CLEAN, before: Table | None = schemas.READINGS) -> Result:
+    """Checks the rows of ``source`` that changed since the gate last let rows pass: all checks in one scan. Rows that break a
+    rule go to the quarantine; where a check fails the stage does, and the same rows are checked again the next time.
+
+    The checks are recorded with the runs. ``before``: the table whose rows in the same places ``least`` is a share of.
+    """
+    began = time.time()
+    changed = store.changes(source, store.frontier("validate", source))
+    if changed is None:
+        return Result("validate", INCREMENTAL, "empty", seconds=round(time.time() - began, 3))
+    with ExitStack() as stack:
+        where = None if changed.everything else stack.enter_context(store.staging(changed.where))
+        rows = store.read(source) if where is None else store.matching(source, where)
+        flagged = stack.enter_context(store.staging(gate.flagged(rows)))
+        n_before = None
+        if before and gate.least is not None:
+            n_before = store.count(before) if where is None else store.matching(before, where).count()
+        found = gate.report(flagged.rows, n_before).collect()
+        bad = flagged.rows.filter(F.size("broken") > 0)
+        failed = [r["check"] for r in found if not r["passed"]]
+        if any(r["value"] and r["check"] not in ("freshness", "retention", "duplicates") for r in found):
+            store.append(schemas.QUARANTINE, bad.select(F.lit(source.name).alias("source"), "broken", F.to_json(F.struct(*source.schema.names)).alias("row"), F.lit(at).alias("at")))
+        record_run(store, {"check": {r["check"]: r["value"] for r in found}}, at)
+        if failed:
+            raise ValueError(f"{source.name}: failed {', '.join(failed)}")
+        n = flagged.n
+    store.advance("validate", source, changed.upto)
+    return Result("validate", INCREMENTAL, "done", n, seconds=round(time.time() - began, 3))
+
+
 def build_dimension(store: Store, table: Table, rows: DataFrame) -> Result:
     began = time.time()
     return Result(table.name, FULL, "done", store.overwrite(table, rows), seconds=round(time.time() - began, 3))
@@ -308,9 +339,9 @@ def run_gold(store: Store, mode: str = INCREMENTAL, select: str | Iterable[str]
 
 def run_pipeline(
     store: Store, mode: str = INCREMENTAL, start: date | None = None, end: date | None = None, arrived: Callable[[], Result] | None = None,
-    skip: Iterable[str] = (), locations: str | None = None, pollutants: str | None = None,
+    skip: Iterable[str] = (), locations: str | None = None, pollutants: str | None = None, gate: checks.Gate | None = None, at: datetime | None = None,
 ) -> DataFrame:
-    """All layers in one session; a row for each stage.
+    """All layers in one session; a row for each stage. With ``gate`` the clean rows are validated before facts are made of them.
 
     ``mode``: incremental, backfill (the days from ``start`` to ``end`` are replaced) or dims-only. ``arrived`` lands what is
     new first. ``skip`` names stages to leave out.
@@ -321,9 +352,37 @@ def run_pipeline(
     dims = _dimension_stages(store, build if start is None and end is None else INCREMENTAL, locations, pollutants)
     stages = [("land", mode, arrived)] if arrived else []
     stages.append(("clean", build, lambda: build_clean(store, build, start, end)))
+    if gate:
+        stages.append(("validate", INCREMENTAL, lambda: validate(store, gate, at or datetime.now())))
     return _reported(store, run_stages(dims if mode == "dims-only" else [*stages, *dims, *_fact_stages(store, build, start, end)], skip))
 
 
+def run_backfill(store: Store, start: date, end: date, arrived: Callable[[date, date], Result], at: datetime, days: int = 30, run_id: str | None = None, **options: object) -> DataFrame:
+    """A backfill in chunks of ``days``: each is landed by ``arrived`` (its first and last day) and built, and what became of it is
+    recorded with the runs. chunk_start, chunk_end, status, error of each chunk of this call.
+
+    A chunk that fails ends the call; the next one with the same ``run_id`` (by default the range's) begins there. Chunks that
+    are done are not made again.
+    """
+    run_id = run_id or f"backfill {start} {end} {days}"
+    told = store.read(schemas.RUNS).filter((F.col("run_id") == run_id) & (F.col("kind") == "chunk") & (F.col("value") == "done"))
+    done, rows, first = {r["name"] for r in told.select("name").collect()}, [], start  # one row a chunk
+    while first <= end:
+        last = min(first + timedelta(days=days - 1), end)
+        name = f"{first} {last}"
+        if name in done:
+            rows.append((first, last, "skipped", None))
+        else:
+            report = run_pipeline(store, "backfill", first, last, arrived=lambda a=first, b=last: arrived(a, b), **options).collect()
+            error = next((r["error"] for r in report if r["status"] == "failed"), None)
+            rows.append((first, last, "failed" if error else "done", error))
+            record_run(store, {"chunk": {name: rows[-1][2]}}, at, run_id)
+            if error:
+                break
+        first = last + timedelta(days=1)
+    return store.spark.createDataFrame(rows, "chunk_start date, chunk_end date, status string, error string")
+
+
 def _range_of(table: Table, start: date, end: date, overlap: bool = False) -> Column:
     """Rows of a table in a range of days: by its date, by its date key, or episodes that start or end there."""
     if table is schemas.EPISODES:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skyledger import schemas
 from skyledger.functions import calendar, measures
@@ -539,9 +540,51 @@ def dq_fact_rules(s, d):
     return checks.fact_rules(facts.daily(fx.hourly(s, d)), [f"{b}_hours" for b in measures.BANDS])
 
 
-@query("SELECT 'schema' AS \"check\", true AS passed, CAST(count(*) * 0 AS DOUBLE) AS value FROM clean")
+#: Columns of ``events`` as they are stored, and with one of another type and one out of place.
+_STORED = {"schema stored": "event_id long, ts timestamp, user_id long, event_type string, value double, props string", "schema other": "event_id long, ts timestamp, user_id int, value double, event_type string, props string"}
+_SQL_TYPES = {"long": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp": "TIMESTAMP"}
+
+
+def _stored_sql(name, ddl):
+    columns = ", ".join(f"({i}, '{c}', '{_SQL_TYPES[t]}')" for i, (c, t) in enumerate(f.split() for f in ddl.split(", ")))
+    return f"""SELECT '{name}' AS "check", count(*) = 0 AS passed, CAST(count(*) AS DOUBLE) AS value FROM (
+      SELECT row_number() OVER () - 1 AS i, column_name, column_type FROM (DESCRIBE SELECT * FROM events)) f
+      FULL JOIN (VALUES {columns}) w(i, name, type) ON f.i = w.i WHERE column_name IS DISTINCT FROM name OR replace(column_type, ' WITH TIME ZONE', '') IS DISTINCT FROM type"""
+
+
+@query(" UNION ALL ".join(f"({_stored_sql(*x)})" for x in _STORED.items()))
 def dq_schema(s, d):
-    return checks.schema_matches(tables.conform(fx.clean(s, d), schemas.CLEAN.schema), schemas.CLEAN.schema)
+    events = fx.table(s, d, "events")
+    events = events.withColumn("ts", F.col("ts").cast("timestamp")).select(*events.columns)
+    return reports.union([checks.schema_matches(events, StructType.fromDDL(ddl), name) for name, ddl in _STORED.items()])
+
+
+_GATED = f"""SELECT "check", passed, value FROM (
+  SELECT unnest([{{'check': 'duplicates', 'passed': d = 0, 'value': CAST(d AS DOUBLE)}}, {{'check': 'known', 'passed': k = 0, 'value': k}}, {{'check': 'in range', 'passed': r <= 0.5 * n, 'value': r}},
+    {{'check': 'referential date_key', 'passed': f <= 0.5 * n, 'value': f}}, {{'check': 'freshness', 'passed': h < 2, 'value': h}}, {{'check': 'retention', 'passed': n / m >= 0.9, 'value': n / m}}], recursive := true)
+  FROM (SELECT count(*) AS n, (SELECT count(*) FROM readings) AS m, (SELECT count(*) FROM (SELECT 1 FROM clean GROUP BY location_key, ts_utc HAVING count(*) > 1) g) AS d,
+    count(*) FILTER (WHERE location_key IS NULL OR ts_utc IS NULL) AS k, count(*) FILTER (WHERE aqi IS NULL OR aqi NOT BETWEEN 0 AND 150) AS r,
+    count(*) FILTER (WHERE date_utc > DATE '2024-01-20') AS f, date_diff('hour', max(ts_utc), TIMESTAMP '2024-01-25 00:00:00') AS h FROM clean) x)"""
+
+
+@query(_GATED)
+def dq_gate(s, d):
+    """All checks in one scan."""
+    rows = fx.clean(s, d)
+    gate = checks.Gate({"known": F.col("location_key").isNotNull() & F.col("ts_utc").isNotNull(), "in range": F.col("aqi").between(0, 150)}, now=NOW, max_hours=2, least=0.9,
+                       dims={"date_key": calendar.dim_date(rows.filter("date_utc <= DATE '2024-01-20'"))}, tolerated=0.5)
+    return gate.report(gate.flagged(rows), fx.readings(s, d).count())
+
+
+@query(""", hashed AS (
+  SELECT *, CAST('0x' || md5('42#' || location_key || '#' || strftime(date_trunc('week', ts_utc), '%Y-%m-%d %H'))[1:15] AS BIGINT) AS h FROM clean),
+summed AS (SELECT h, sum(count(*)) OVER (ORDER BY h) AS n FROM hashed GROUP BY h),
+stop AS (SELECT arg_min(h, (abs(n - (SELECT count(*) // 3 FROM clean)), h)) AS h FROM summed)
+SELECT location_key, ts_utc FROM hashed WHERE h <= (SELECT h FROM stop)""")
+def block_sample(s, d):
+    """A third of the rows, in whole location weeks."""
+    rows = fx.clean(s, d)
+    return forecast.sample_blocks(rows, rows.count() // 3).select("location_key", "ts_utc")
 
 
 @query("SELECT location_key, max(ts_utc) FILTER (WHERE old) AS watermark, min(date_utc) FILTER (WHERE NOT old) AS min_date, max(date_utc) FILTER (WHERE NOT old) AS max_date, count(*) FILTER (WHERE NOT old) AS new_rows "

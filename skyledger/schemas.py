@@ -70,8 +70,10 @@ DAY_RUNS = Table(
     "ops", "day_runs", "location_key string, date_utc date, first_ts timestamp, last_ts timestamp, first_flag boolean, last_flag boolean, "
     "runs array<struct<start_ts: timestamp, end_ts: timestamp, peak_aqi: int, hours_flagged: bigint, dominant_pollutant: string>>", ("location_key", "date_utc"), ("date_utc",), "date_utc",
 )
+#: Rows that broke rules of a gate, as JSON.
+QUARANTINE = Table("ops", "quarantine", "source string, broken array<string>, row string, at timestamp", ("source", "row", "at"))
 RUNS = Table("ops", "runs", "run_id string, kind string, name string, value string, at timestamp", ("run_id", "kind", "name"))
 
 DIMENSIONS = (DIM_DATE, DIM_TIME, DIM_LOCATION, DIM_POLLUTANT)
 FACTS = (HOURLY, DAILY, EPISODES)
-ALL = (READINGS, CLEAN, *DIMENSIONS, *FACTS, DAY_RUNS, RUNS)
+ALL = (READINGS, CLEAN, *DIMENSIONS, *FACTS, DAY_RUNS, QUARANTINE, RUNS)

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from typing import Any
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -112,21 +113,27 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def read_locations(spark: SparkSession, path: str) -> DataFrame:
     """location_key, location_name, latitude, longitude, timezone of JSON lines, an array, or {"locations": [...]}.
 
-    The key is location_key, id or name. Only the beginning of a file is looked at to tell which form it has; lines are read
-    line by line, and only an array or object as a whole. Lines that are no JSON are left out.
+    The key is location_key, id or name. Each file of a folder has a form of its own, told by its first line that is not
+    blank: an array begins with a bracket; an object has the member locations, or is not closed on that line; all else is
+    lines. Only an array or object is read as a whole. Lines that are no JSON are left out.
     """
     fields = "location_key string, id string, name string, location_name string, latitude double, longitude double, timezone string"
-    start = spark.read.text(path).select(F.trim("value").alias("v")).filter("v <> ''").first()
-    lines = spark.read.schema(fields).option("mode", "DROPMALFORMED")
-    if start is None:
-        rows = spark.createDataFrame([], fields)
-    elif start["v"].startswith("["):
-        rows = lines.option("multiLine", True).json(path)
-    elif "locations" in start["v"] or start["v"] == "{":
-        rows = spark.read.schema(f"locations array<struct<{', '.join(f.replace(' ', ': ') for f in fields.split(', '))}>>").option("multiLine", True).json(path)
-        rows = rows.select(F.explode("locations").alias("x")).select("x.*")
-    else:
-        rows = lines.json(path)
+    nested = f"locations array<struct<{', '.join(f.replace(' ', ': ') for f in fields.split(', '))}>>"
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"), F.trim("value").alias("v"))
+    first = lines.filter("v <> ''").groupBy("file").agg(F.min_by("v", "at").alias("v"))
+    opened = F.get_json_object("v", "$.locations").isNotNull() | F.col("v").rlike(r'^\{\s*("locations"\s*:.*)?$')
+    form = F.when(F.col("v").startswith("["), "array").when(opened, "object").otherwise("lines")
+    of: dict[str, list[str]] = {}
+    for r in first.select("file", form.alias("form")).collect():  # one row a file
+        of.setdefault(r["form"], []).append(unquote(r["file"]))
+    read = lambda schema, **options: spark.read.schema(schema).options(mode="DROPMALFORMED", **options)
+    rows = spark.createDataFrame([], fields)
+    if "array" in of:
+        rows = rows.unionByName(read(fields, multiLine=True).json(of["array"]))
+    if "object" in of:
+        rows = rows.unionByName(read(nested, multiLine=True).json(of["object"]).select(F.explode("locations").alias("x")).select("x.*"))
+    if "lines" in of:
+        rows = rows.unionByName(read(fields).json(of["lines"]))
     key = F.coalesce("location_key", "id", "name")
     return rows.select(key.alias("location_key"), F.coalesce("location_name", "name").alias("location_name"), "latitude", "longitude", "timezone").filter(key.isNotNull()).distinct()
 

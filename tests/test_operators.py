@@ -78,6 +78,30 @@ def test_locations(spark, tmp_path, form):
     assert got == {"x": 1.0, "y": 3.0, "z": None}
 
 
+def test_locations_of_a_folder_with_all_forms(spark, tmp_path):
+    files_of = {
+        "a.json": '\n{"location_key": "a", "name": "Two locations mall"}\n{bad\n{"id": "b"}', "b.json": '{bad\n{"id": "c"}', "c.json": '[{"id": "d"},\n {"id": "e"}]', "d e.json": '{"locations": [{"id": "f"}]}',
+        "f.json": '{\n "locations": [\n {"id": "g"}]}', "g.json": '{"locations": [{"id": "h"},\n {"id": "i"}]}', "h.json": "", "i.json": '{"location_key": "locations", "name": "locations"}',
+    }
+    for name, text in files_of.items():
+        (tmp_path / name).write_text(text)
+    assert sorted(r.location_key for r in files.read_locations(spark, str(tmp_path)).collect()) == [*"abcdefghi", "locations"]
+
+
+def test_sample_of_whole_blocks(spark, monkeypatch):
+    t = dt.datetime(2024, 1, 1)
+    df = spark.range(24 * 70).select(F.expr("cast(id % 3 as string)").alias("location_key"), (F.lit(t) + F.expr("make_interval(0, 0, 0, 0, cast(id as int))")).alias("ts_utc"), "id")
+    block = ["location_key", F.date_trunc("week", "ts_utc").alias("week")]
+    whole = {tuple(r)[:2]: r["count"] for r in df.groupBy(*block).count().collect()}
+    for cuts in (4096, 4):
+        monkeypatch.setattr(forecast, "_CUTS", cuts)
+        got = [forecast.sample_blocks(df, n, seed=3) for n in (500, 840, 1, 10**6)]
+        for n, sample in zip((500, 840, 1, 1680), got, strict=True):
+            found = {tuple(r)[:2]: r["count"] for r in sample.groupBy(*block).count().collect()}
+            assert all(whole[k] == v for k, v in found.items()) and abs(sum(found.values()) - n) <= 56 / (1 if n == 1 else 2), n
+    assert {r.id for r in forecast.sample_blocks(df, 500, seed=3).collect()} == {r.id for r in got[0].collect()} != {r.id for r in forecast.sample_blocks(df, 500, seed=4).collect()}
+
+
 def test_csv_round_trip_and_export(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
     files.write_csv(df, str(tmp_path / "c"), single=True)

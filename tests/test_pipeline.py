@@ -121,6 +121,49 @@ def test_landing_modes(spark, tmp_path):
     assert [tuple(r) for r in pipeline.current_requests(store, places, DAY).select("location_key", "chunk_start", "chunk_end").collect()] == [("other", hour.date(), DAY)]
 
 
+def test_gate_stops_a_bad_batch_until_it_is_mended(spark, readings, tmp_path):
+    store = Store(spark, str(tmp_path))
+    gate = checks.Gate({"in range": F.coalesce("aqi", F.lit(0)).between(0, 500), "known": F.col("location_key").isNotNull()}, now=NOW, max_hours=24 * 30, least=1.0)
+    rows = readings.filter("location_key = 'view'")
+    run = lambda part: {r.stage: r for r in pipeline.run_pipeline(store, arrived=lambda: pipeline.land_rows(store, part, "upsert"), gate=gate, at=NOW, skip=["dim_date", "dim_time", "episodes"]).collect()}
+    old = rows.filter(F.col("date_utc") < DAY)
+    good = run(old)
+    assert [good[s].status for s in ("clean", "validate", "hourly", "daily")] == ["done"] * 4 and good["validate"].rows == old.count()
+    bad = run(rows.filter(F.col("date_utc") == DAY).withColumn("aqi", F.when(F.hour("ts_utc") < 12, F.lit(9999)).otherwise(F.col("aqi"))))
+    assert [bad[s].status for s in ("clean", "validate", "hourly", "daily")] == ["done", "failed", "skipped", "skipped"] and "in range" in bad["validate"].error
+    held = store.read(schemas.QUARANTINE).collect()
+    assert held and all(r.broken == ["in range"] and '"aqi":9999' in r.row for r in held)
+    assert run(rows.filter("false"))["validate"].status == "failed"
+    mended = run(rows.filter(F.col("date_utc") == DAY))
+    assert [mended[s].status for s in ("clean", "validate", "hourly", "daily")] == ["done"] * 4
+    assert store.count(schemas.HOURLY) == rows.filter(F.col("date_utc") <= DAY).count()
+    assert run(rows.filter("false"))["validate"].status == "empty"
+    # One scan for all checks.
+    flagged = gate.flagged(store.read(schemas.CLEAN))
+    assert gate.report(flagged, 1)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r["check"]: r.passed for r in gate.report(flagged, 10**6).collect()} == {"duplicates": True, "in range": True, "known": True, "freshness": True, "retention": False}
+
+
+def test_backfill_goes_on_where_it_failed(spark, readings, tmp_path):
+    store, seen = Store(spark, str(tmp_path)), []
+    rows = readings.filter("location_key = 'view'")
+
+    def arrived(broken, a, b):
+        seen.append(a.day)
+        if broken and a.day == 7:
+            raise OSError("no answer")
+        return pipeline.land_rows(store, rows.filter(F.col("date_utc").between(a, b)))
+
+    a, b = dt.date(2024, 1, 1), dt.date(2024, 1, 15)
+    options = {"at": NOW, "days": 3, "skip": ["dim_date", "dim_time", "episodes", "daily"]}
+    first = pipeline.run_backfill(store, a, b, lambda *x: arrived(True, *x), **options).collect()
+    assert [(r.chunk_start.day, r.status) for r in first] == [(1, "done"), (4, "done"), (7, "failed")] and "no answer" in first[-1].error
+    seen.clear()
+    second = pipeline.run_backfill(store, a, b, lambda *x: arrived(False, *x), **options).collect()
+    assert [r.status for r in second] == ["skipped"] * 2 + ["done"] * 3 and seen == [7, 10, 13]
+    assert store.count(schemas.HOURLY) == rows.filter(F.col("date_utc").between(a, b)).count()
+
+
 def test_registry_truncate_merge_checks(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     assert store.create_all(dry_run=True).count() == len(schemas.ALL) and not any(r.written for r in store.tables().collect())

@@ -68,6 +68,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the bitmap that tells most rows without a partner.
+BITS = 1 << 26
+
+
+def maybe_in(df: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with _maybe: false where its values of ``columns`` are not among those of ``keys``, else mostly true only where they
+    are. The bitmap has BITS bits, however many keys there are; with more keys than bits it tells little."""
+    place = F.pmod(F.xxhash64(*columns), F.lit(BITS))
+    word, bit = F.shiftright(place, 6).cast("int"), F.pmod(place, F.lit(64)).cast("int")
+    bits = keys.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    found = df.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(materialize(bits, "bitmap")), "_word", "left")  # BITS / 64 rows at most
+    return found.withColumn("_maybe", F.coalesce(F.expr("shiftright(_bits, _bit) & 1L") == 1, F.lit(False))).drop("_word", "_bit", "_bits")
+
+
 def release(table: DataFrame) -> None:
     """Deletes a materialised table that nothing reads any more, before the application ends."""
     spark = table.sparkSession

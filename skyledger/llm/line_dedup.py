@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import BLANKS, LOWER, UPPER, materialize, named
+from skyledger.llm.common import BLANKS, LOWER, UPPER, materialize, maybe_in, named
 
 
 def _lines(text: Column) -> Column:
@@ -36,12 +36,16 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     # Written first, so that the join can split a line that a third of all documents hold.
     repeated = materialize(repeated_lines(lines, min_docs), "line-repeated")
     hits = lines.join(repeated, "hash").filter(~F.col("doc_id").eqNullSafe(F.col("keep")))
-    # The positions of one document at most; equal rows give equal positions. They grow with the corpus: joined alike at every size.
-    hits = materialize(hits.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("drop")), "line-hits").hint("merge").alias("hit")
+    # The positions of one document at most; equal rows give equal positions. They grow with the corpus.
+    hits = materialize(hits.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("drop")), "line-hits")
     # Own columns stay in one struct meanwhile, so that their names meet no others.
-    whole = docs.select(F.struct(*[named(c) for c in docs.columns if c != "text"]).alias("whole"), "doc_id", "text").alias("doc")
-    same = F.col("doc.doc_id").eqNullSafe(F.col("hit.doc_id")) & (F.xxhash64("doc.text") == F.col("hit.text_hash"))
-    out = whole.join(hits, same, "left").select("whole", "text", "drop", _lines(F.col("text")).alias("lines"))
+    whole = docs.select(F.struct(*[named(c) for c in docs.columns if c != "text"]).alias("whole"), "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    same = F.col("doc.doc_id").eqNullSafe(F.col("hit.doc_id")) & (F.col("doc.text_hash") == F.col("hit.text_hash"))
+    loses = maybe_in(whole, hits, "doc_id", "text_hash")
+    # Only texts that may lose a line are dealt out to meet their positions; the others stay where they are.
+    met = loses.filter("_maybe").alias("doc").join(hits.alias("hit"), same, "left").select("whole", "text", "drop")
+    out = met.unionByName(loses.filter("not _maybe").select("whole", "text", F.lit(None).cast("array<int>").alias("drop")))
+    out = out.withColumn("lines", _lines(F.col("text")))
     kept = F.expr("array_join(transform(array_except(sequence(0, size(lines) - 1), drop), i -> lines[i]), '\\n')")
     text = F.when(F.col("drop").isNull(), F.col("text")).otherwise(kept)
     columns = [text.alias("text") if c == "text" else F.col("whole")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]

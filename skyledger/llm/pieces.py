@@ -8,7 +8,7 @@ out, found by the library with its own normaliser off, are led back over that al
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ PIECE_MODEL = "piece_bpe_32k.model"
 #: The sign that stands for a space in pieces.
 SPACE = "▁".encode()
 #: Ids that a task gathers before it hands rows on.
-EMIT_IDS = 1 << 20
+EMIT_IDS = 1 << 18
 
 
 class CharMap:
@@ -133,19 +133,32 @@ class Normalizer:
 
 class Encoder:
     def __init__(self, model: bytes) -> None:
-        from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
+        from sentencepiece import sentencepiece_model_pb2
 
         proto = sentencepiece_model_pb2.ModelProto()
         proto.ParseFromString(model)
         if any(p.type == 4 for p in proto.pieces):
             raise ValueError("models with pieces of the user's own are not supported")
-        self.whole = SentencePieceProcessor(model_proto=model)
+        self.model = model
         self.normalizer = Normalizer(proto.normalizer_spec, proto.trainer_spec.treat_whitespace_as_suffix)
         # A piece for a byte stands for one; others for their own bytes.
         self.sizes = np.array([1 if p.type == 6 else len(p.piece.encode()) for p in proto.pieces])
         spec = proto.normalizer_spec
         spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces = b"", False, False, False
-        self.bare = SentencePieceProcessor(model_proto=proto.SerializeToString())
+        self.normalized = proto.SerializeToString()
+
+    @cached_property
+    def whole(self):
+        from sentencepiece import SentencePieceProcessor
+
+        return SentencePieceProcessor(model_proto=self.model)
+
+    @cached_property
+    def bare(self):
+        """The library with its normaliser off."""
+        from sentencepiece import SentencePieceProcessor
+
+        return SentencePieceProcessor(model_proto=self.normalized)
 
     def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the pieces, and the bytes of ``text`` where each begins and ends; the end id stands behind the text."""
@@ -215,9 +228,9 @@ def decode_pieces(pieces: DataFrame, model: str | None = None) -> DataFrame:
     shared = pieces.sparkSession.sparkContext.broadcast(_read(model))  # one model
     own = [c for c in pieces.columns if c != "text"]
 
-    @F.pandas_udf("string")
-    def decode(ids):
+    @F.arrow_udf("string")
+    def decode(ids: pa.Array) -> pa.Array:
         enc = encoder(shared.value)
-        return ids.map(lambda x: enc.whole.decode(x.tolist()), na_action="ignore")
+        return pa.array([enc.whole.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in ids], pa.string())
 
     return pieces.select(*map(named, own), decode("ids").alias("text"))

@@ -45,7 +45,8 @@ def library():
 
 def test_ids_and_spans_equal_the_library(library):
     enc = pieces.Encoder(pieces._read(None))
-    for text in (*ODD, *strings(3000)):
+    words = [" ".join(w) for w in zip(strings(3000, 7), strings(3000, 8), strings(3000, 9), strict=True)]
+    for text in (*ODD, *strings(3000), *words):
         ids, begins, ends = (x.tolist() for x in enc(text.encode()))
         assert ids == library.encode(text, add_eos=True)
         expected = library.encode(text, return_type="proto").pieces

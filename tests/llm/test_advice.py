@@ -34,6 +34,47 @@ def test_passage_held_many_times_by_one_document(spark, length):
     assert sum(i == 1 for i, _ in got) >= 10 * length
 
 
+def test_neighbours_are_extended_to_both_sides(spark):
+    """What sorted neighbours share, by plain comparison of the words around the suffixes."""
+    rng = np.random.default_rng(3)
+    base = [f"w{x}" for x in rng.integers(0, 10**6, 300)]
+    texts = {i: [w if rng.random() > 0.02 else f"x{i}y{j}" for j, w in enumerate(base)] for i in range(30)}
+    rows = [(i, " ".join(w), i) for i, w in texts.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _text long")
+    kept = suffix_dedup.suffixes(df)
+    near = suffix_dedup.compared(suffix_dedup.surrounded(df, kept)).collect()
+    assert sorted((r.doc_id, r.at) for r in near) == sorted((r.doc_id, r.at) for r in kept.collect())
+    met = 0
+    for r in near:
+        for left, right in ((r._l1, r._r1), (r._l2, r._r2)):
+            if left < 0:
+                continue
+            met += 1
+            w, n = texts[r.doc_id], suffix_dedup.SUFFIX
+            passage = tuple(w[r.at - left : r.at + n + right])
+            assert len(passage) == left + n + right
+            others = (v for i, v in texts.items() if i != r.doc_id)
+            assert any(tuple(v[p : p + len(passage)]) == passage for v in others for p in range(len(v) - len(passage) + 1))
+    assert met > len(near) / 4
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_passages_of_many_edited_copies(spark, seed):
+    """Copies that differ in few places, cut anywhere, some more than once in a document."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{x}" for x in rng.integers(0, 10**6, 500)]
+    texts = {}
+    for i in range(120):
+        words = []
+        for _ in range(int(rng.integers(1, 3))):
+            a, n = int(rng.integers(0, 450)), int(rng.integers(30, 300))
+            words += [w if rng.random() > 0.015 else f"x{rng.integers(5)}" for w in base[a : a + n]]
+        texts[i] = words
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string").repartition(7)
+    got = {(r.doc_id, q) for r in suffix_dedup.repeated_passages(df).collect() for q in range(r.start, r.end)}
+    assert got == _repeated(texts)
+
+
 def _edited(words: list[str], how: str, at: list[int]) -> list[str]:
     out = list(words)
     for j in sorted(at, reverse=True):

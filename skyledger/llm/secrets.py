@@ -2,6 +2,8 @@
 
 Rule patterns (a small regular language: literals, classes, groups, alternation, ``? * + {n} {n,}``) become automata by
 subset construction, which are minimised, multiplied into one, and minimised again: one table of states by byte classes.
+The product can double with each rule. Beyond STATES its states are made when a text first reaches them, from the rules'
+minimised tables, and are forgotten when there are STATES of them, so that any number of rules takes bounded memory.
 Texts are read once, byte by byte, whatever the rules. The few moves that begin, confirm or end a match carry marks, so
 that the pass itself gives where matches lie, and its time is in proportion to the text. No rule crosses a line.
 """
@@ -11,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -232,30 +235,42 @@ def minimised(rows: list[list[int]], marks: list[list[tuple]]) -> tuple[list[lis
     return place[part[moves[first[order]]]].tolist(), [marks[i] for i in first[order].tolist()]
 
 
+#: States of the product of all rules that are held at once.
+STATES = 10_000
+
+
 class Automaton:
     """All rules as one table: ``classes`` (class of each byte), ``rows[state][class]`` the next state, ``marks`` the moves
-    that have any: (state, class) to a list of (rule, mark...). The last class is the end of the text; state 0 starts."""
+    that have any: (state, class) to a list of (rule, mark...). The last class is the end of the text; state 0 starts.
+    Where the product has over ``states`` states there are only the rules' own ``tables``, and ``rows`` is None."""
 
-    def __init__(self, rules: tuple[Rule, ...] = RULES) -> None:
+    def __init__(self, rules: tuple[Rule, ...] = RULES, states: int = STATES) -> None:
         parts = [_Component(r) for r in rules]
         letters = [s for p in parts for s in p.sets()]
         kinds: dict[tuple, int] = {}
         self.classes = bytes(kinds.setdefault(tuple(b in s for s in letters), len(kinds)) for b in range(256))
-        tables = [p.table([*(self.classes.index(c) for c in range(len(kinds))), -1]) for p in parts]
-        start = (0,) * len(parts)
-        index, todo, rows, marks = {start: 0}, [start], [], []
-        for states in todo:  # the product of the rules' automata, as far as it can be reached; ``todo`` grows
-            targets = list(zip(*(t[0][s] for t, s in zip(tables, states, strict=True)), strict=True))
-            for target in targets:
+        self.tables = [p.table([*(self.classes.index(c) for c in range(len(kinds))), -1]) for p in parts]
+        self.end, self.start, self.states = len(kinds), (0,) * len(parts), states
+        self.rows, self.marks = None, {}
+        index, todo, rows, marks = {self.start: 0}, [self.start], [], []
+        for at in todo:  # the product of the rules' automata, as far as it can be reached; ``todo`` grows
+            moves = [self.move(at, c) for c in range(self.end + 1)]
+            for _, target in moves:
                 if target not in index:
                     index[target] = len(index)
                     todo.append(target)
-            rows.append([index[t] for t in targets])
-            found = zip(*(t[1][s] for t, s in zip(tables, states, strict=True)), strict=True)
-            marks.append([tuple((k, *m) for k, ms in enumerate(move) for m in ms) for move in found])
+            if len(todo) > states:
+                return
+            rows.append([index[t] for _, t in moves])
+            marks.append([m for m, _ in moves])
         self.rows, marks = minimised(rows, marks)
         self.marks = {(s, c): m for s, row in enumerate(marks) for c, m in enumerate(row) if m}
-        self.end = len(kinds)
+
+    def move(self, at: tuple[int, ...], c: int) -> tuple[tuple, tuple[int, ...]]:
+        """Marks and the next states of all rules, from their states and a byte class."""
+        pairs = list(zip(self.tables, at, strict=True))
+        marks = tuple((k, *m) for k, (t, s) in enumerate(pairs) for m in t[1][s][c])
+        return marks, tuple([t[0][s][c] for t, s in pairs])
 
 
 class Scanner:
@@ -263,21 +278,51 @@ class Scanner:
 
     def __init__(self, rules: tuple[Rule, ...] = RULES, automaton: Automaton | None = None) -> None:
         self.rules, self.automaton = rules, automaton or Automaton(rules)
-        # The rows refer to one another, so that a byte costs one look-up; moves with marks are None there.
-        rows: list[list] = [[] for _ in self.automaton.rows]
-        for s, (row, ids) in enumerate(zip(rows, self.automaton.rows, strict=True)):
-            row[:] = [None if (s, c) in self.automaton.marks else rows[t] for c, t in enumerate(ids)]
-            row.append(s)
-        self.rows = rows
+        # The rows refer to one another, so that a byte costs one look-up; moves with marks, or not made so far, are None there.
+        self._forget()
+        if self.automaton.rows is not None:
+            self.rows = rows = [[] for _ in self.automaton.rows]
+            for s, (row, ids) in enumerate(zip(rows, self.automaton.rows, strict=True)):
+                row[:] = [None if (s, c) in self.automaton.marks else rows[t] for c, t in enumerate(ids)]
+                row.append(s)
+            self.moves = {(s, c): (m, rows[self.automaton.rows[s][c]]) for (s, c), m in self.automaton.marks.items()}
+
+    def _forget(self) -> None:
+        """Holds no state but the first."""
+        self.rows: list[list] = []
+        self.moves: dict[tuple[int, int], tuple[tuple, list]] = {}
+        self.index: dict[tuple, int] = {}
+        self.at: list[tuple] = []
+        self._row(self.automaton.start)
+
+    def _row(self, at: tuple[int, ...]) -> list:
+        if at not in self.index:
+            self.index[at] = len(self.rows)
+            self.at.append(at)
+            self.rows.append([None] * (self.automaton.end + 1) + [len(self.rows)])
+        return self.rows[self.index[at]]
+
+    def _made(self, state: int, c: int) -> tuple[tuple, list]:
+        """A move that no text has made so far: its marks and the row of the next state."""
+        marks, target = self.automaton.move(self.at[state], c)
+        if target not in self.index and len(self.rows) >= self.automaton.states:
+            self._forget()
+            return marks, self._row(target)
+        row = self._row(target)
+        if marks:
+            self.moves[state, c] = marks, row
+        else:
+            self.rows[state][c] = row
+        return marks, row
 
     def _found(self, data: bytes) -> list[tuple[int, int, int]]:
         """(start, rule, end), leftmost longest and without overlap for each rule, in bytes."""
-        rows, end, marks, rules = self.rows, self.automaton.end, self.automaton.marks, self.rules
+        end, rules = self.automaton.end, self.rules
         symbols = data.translate(self.automaton.classes) + bytes([end])
         each, n = iter(symbols), len(symbols)
         saved: dict[tuple[int, int], int] = {}
         start, value = [0] * len(rules), [0] * len(rules)
-        row, out = rows[0], []
+        row, out = self.rows[0], []
         while True:
             for b in each:
                 last = row
@@ -286,15 +331,15 @@ class Scanner:
                     break
             else:
                 return out
-            at, state = n - each.__length_hint__() - 1, last[-1]
-            for k, mark, *more in marks[state, b]:
+            at, move = n - each.__length_hint__() - 1, (last[-1], b)
+            marks, row = self.moves.get(move) or self._made(*move)
+            for k, mark, *more in marks:
                 if mark == SAVE:
                     saved[k, more[0]] = at + 1 - more[1]
                 elif mark == HIT:
                     start[k], value[k] = saved[k, more[0]], at
                 elif at - (value[k] if rules[k].value else start[k]) >= rules[k].least:
                     out.append((start[k], k, at))
-            row = rows[self.automaton.rows[state][b]]
 
     def spans(self, text: str | None) -> list[tuple[str, int, int]]:
         """(kind, start, end) in code points, by start and then kind as listed."""
@@ -313,6 +358,7 @@ class Scanner:
 
 
 _scanners: dict[tuple, Scanner] = {}
+_automaton = lru_cache(maxsize=4)(Automaton)
 
 
 def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -326,7 +372,7 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     schema = "doc_id long, spans array<struct<kind: string, start: long, end: long>>"
     spans_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
-    automaton = Automaton(rules)
+    automaton = _automaton(rules)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _scanners.get(rules) or _scanners.setdefault(rules, Scanner(rules, automaton))

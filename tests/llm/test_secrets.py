@@ -55,6 +55,44 @@ def test_long_runs_take_time_in_proportion(scanner):
         assert run[0] != "0" or found == [("hex", 0, 1_000_000)]
 
 
+#: More rules of the token kind: head, tail, least characters.
+TOKENS = [
+    ("sk_live_", "[A-Za-z0-9]+", 20), ("AIza", "[A-Za-z0-9_-]+", 39), ("glpat-", "[A-Za-z0-9_-]+", 26), ("npm_", "[A-Za-z0-9]+", 40),
+    ("hf_", "[A-Za-z]+", 30), ("dop_v1_", "[a-f0-9]+", 71), ("SG.", "[A-Za-z0-9_-]+", 20), ("shpat_", "[a-fA-F0-9]+", 38),
+    ("pypi-", "[A-Za-z0-9_-]+", 30), ("rk_test_", "[A-Za-z0-9]+", 20), ("ya29.", "[A-Za-z0-9_-]+", 20), ("EAAC", "[A-Za-z0-9]+", 20),
+    ("lin_api_", "[A-Za-z0-9]+", 20), ("dapi", "[a-h0-9]+", 20), ("PMAK-", "[A-Za-z0-9-]+", 20), ("xkeysib-", "[a-f0-9-]+", 20),
+    ("key-", "[a-z0-9]+", 20), ("sq0atp-", "[A-Za-z0-9_-]+", 20),
+]
+
+
+@pytest.fixture(scope="module")
+def many():
+    began = time.process_time()
+    rules = (*secrets.RULES, *(secrets.Rule(f"k{i}", head.replace(".", r"\."), tail, least=n) for i, (head, tail, n) in enumerate(TOKENS)))
+    scanner = secrets.Scanner(rules)
+    assert time.process_time() - began < 10
+    return scanner
+
+
+@pytest.mark.parametrize("states", [secrets.STATES, 40])
+def test_many_rules_in_one_pass(many, monkeypatch, states):
+    """25 rules, also with so few states that they are forgotten within a text."""
+    monkeypatch.setattr(many.automaton, "states", states)
+    many._forget()
+    compiled = [*COMPILED, *((f"k{i}", re.compile(re.escape(h) + t, re.A), lambda m, n=n: len(m[0]) >= n) for i, (h, t, n) in enumerate(TOKENS))]
+    rng = random.Random(states)
+    bits = ["token", "=", ": ", "'", "AKIA", "A1B2C3D4E5F6G7", "0123456789ab", "deadbeef", "\n", "é", " ", "-", "_", "eyJhbGciOi", ".sIgN", "ghp_", "xoxb-", "-----BEGIN ", "PRIVATE KEY-----", "Ab3" * 12, "abc" * 12, "0123456789ab" * 6, "token=", "AKIAA1B2C3D4E5F6G7", *(h for h, _, _ in TOKENS)]
+    hits = dict.fromkeys((k for k, _, _ in compiled), 0)
+    for _ in range(4000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 20)))
+        found = sorted((m.start(), i, m.end()) for i, (_, p, ok) in enumerate(compiled) for m in p.finditer(text) if ok(m))
+        assert many.spans(text) == [(compiled[i][0], a, e) for a, i, e in found], repr(text)
+        assert len(many.rows) <= states
+        for _, i, _ in found:
+            hits[compiled[i][0]] += 1
+    assert min(hits.values()) > 3
+
+
 def test_rules_that_one_pass_cannot_tell_are_refused():
     with pytest.raises(ValueError, match="later start"):
         secrets.Automaton((secrets.Rule("y", "(abbbbc|bb)", "d*"),))

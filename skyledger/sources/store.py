@@ -112,6 +112,19 @@ class Store:
         rows = [(t.layer, t.name, self.path(t), self.exists(t)) for t in schemas.ALL]
         return self.spark.createDataFrame(rows, "layer string, table string, path string, written boolean")
 
+    def register(self, prefix: str = "") -> list[str]:
+        """Makes every table of the registry known to SQL as the temporary view prefix + layer_name; tables without rows are
+        empty views. A view sees the files that lie there now: register again after a write."""
+        names = []
+        for t in schemas.ALL:
+            names.append(f"{prefix}{t.layer}_{t.name}")
+            self.read(t).createOrReplaceTempView(names[-1])
+        return names
+
+    def unregister(self, prefix: str = "") -> int:
+        """Drops the views of ``register``; how many there were."""
+        return sum(self.spark.catalog.dropTempView(f"{prefix}{t.layer}_{t.name}") for t in schemas.ALL)
+
     def create_all(self, drop: bool = False, dry_run: bool = False) -> DataFrame:
         """layer, table, action, ddl: makes the tables that are missing; with ``drop`` removes all first, facts before dimensions."""
         rows = []

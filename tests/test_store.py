@@ -180,3 +180,20 @@ def test_episodes_by_changed_days_equal_all_anew(spark, store, monkeypatch, gap)
         got = store.read(schemas.EPISODES).withColumnsRenamed({"start_ts_utc": "start_ts", "end_ts_utc": "end_ts"}).select(columns)
         assert said(map(tuple, got.collect())) == said(map(tuple, expected.select(columns).collect())), step
     assert pipeline.build_episodes(store, threshold=151, min_hours=30, break_on_gap=gap).rows < expected.count()  # another rule: all anew
+
+
+def test_tables_as_views(spark, store):
+    hours = spark.createDataFrame([(f"loc{i % 3}", dt.datetime(2024, 1, 1 + i // 24, i % 24), i) for i in range(72)], "location_key string, ts_utc timestamp, aqi int")
+    full = hours.withColumn("date_utc", F.to_date("ts_utc"))
+    full = full.select(*[F.col(c) if c in full.columns else F.lit(None).cast(t.dataType).alias(c) for c, t in ((f.name, f) for f in schemas.READINGS.schema)])
+    store.append(schemas.READINGS, full)
+    names = store.register("air_")
+    assert len(names) == len(set(names)) == len(schemas.ALL)
+    assert spark.sql("SELECT count(*) FROM air_gold_daily").first()[0] == 0
+    some = spark.sql("SELECT location_key, max(aqi) AS top FROM air_bronze_readings WHERE date_utc = DATE'2024-01-02' GROUP BY location_key")
+    assert "PartitionFilters: [isnotnull(date_utc" in plan(some)
+    assert {tuple(r) for r in some.collect()} == {("loc0", 45), ("loc1", 46), ("loc2", 47)}
+    store.delete(schemas.READINGS, F.col("location_key") == "loc1")
+    store.register("air_")
+    assert spark.sql("SELECT count(*) FROM air_bronze_readings").first()[0] == 48
+    assert store.unregister("air_") == len(names) and store.unregister("air_") == 0

@@ -14,6 +14,7 @@ import uuid
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,18 +25,20 @@ from skyledger.llm.common import materialize, ship
 
 K1, B = 1.2, 0.75
 #: Words of a test passage at most, and of half a query passage: any run of STEP words lies whole in one query, so a test
-#: passage does with as many words put in as its two halves allow.
-SPAN, STEP = 96, 116
+#: passage does with as many words put in as it allows.
+SPAN, STEP = 96, 120
 SHARD_PASSAGES = 20_000
 #: Test passages of a block of the index: their largest impacts bound what a query can score in the block.
 BLOCK = 16
 #: Share of a test passage's own score from which it is retrieved; less where the words that may be edited weigh more.
 MIN_SCORE = 0.5
-#: Word n-grams of the overlap check, and the share of those of the question and of the answer that must be in the query,
-#: or of their words that must stand there in order.
+#: Word n-grams of the overlap check, and the share of those of the question and of the answer that must be in the query.
 GRAM, MIN_OVERLAP = 5, 0.8
-#: Edited words that each half of 4 * EDITS words or more may have at least; shorter ones one in four.
-EDITS = 2
+#: Or else their words must stand there in order but for edits: so great a share of the passage's words in all, and of each
+#: half. Edits that fall at random do not fall evenly, so a half may have more than its part.
+EDITS, HALF_EDITS = 0.25, 0.4
+#: Test passages of fewer words are held by texts that have these words and no others: any text may hold so few.
+MIN_WORDS = 8
 
 #: Share of the threshold that a passage's least terms may reach together without opening it.
 REST = 0.5
@@ -51,9 +54,9 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def allowed(n: int) -> int:
-    """Words of a half of n words that may be changed, put in or left out."""
-    return max(int((1 - MIN_OVERLAP) * n + 1e-9), min(EDITS, n // 4))
+def allowed(n: int, share: float = HALF_EDITS) -> int:
+    """Words of n that may be changed, put in or left out; of a half, if not told otherwise."""
+    return int(share * n + 1e-9)
 
 
 class Half:
@@ -79,14 +82,15 @@ class Half:
             plus, minus = down | (every & ~(eq | up)), up & eq
         return best
 
-    def share(self, words: list[str], present: set[str], grams: set) -> float:
-        """Share of the half that a query holds; 0 where it is too little."""
+    def held(self, words: list[str], present: set[str], grams: set) -> tuple[float, int] | None:
+        """Share of the half that a query holds, and its edits, none where its n-grams suffice; None where it is not held."""
         share = len(self.grams & grams) / len(self.grams)
-        share = share if share >= MIN_OVERLAP else 0.0
+        if share >= MIN_OVERLAP:
+            return share, 0
         # A word that is nowhere in the query is an edit for certain.
-        if share < 1 and sum(w not in present for w in self.bits) <= self.edits and (d := self.distance(words)) <= self.edits:
-            share = max(share, 1 - d / self.size)
-        return share
+        if sum(w not in present for w in self.bits) <= self.edits and (d := self.distance(words)) <= self.edits:
+            return 1 - d / self.size, d
+        return None
 
 
 def _cut(x: list) -> tuple[list, list]:
@@ -107,7 +111,12 @@ class Index:
         if df is None:
             df, count = Counter(t for w in self.texts for t in set(w)), len(passages)
             mean = sum(map(len, self.texts)) / max(1, count)
-        self.terms = {t: k for k, t in enumerate(dict.fromkeys(t for w in self.texts for t in w))}
+        #: Items of fewer than MIN_WORDS words, by their words; they have no postings.
+        self.whole: dict[tuple[str, ...], list[int]] = {}
+        for i, w in passages:
+            if len(w) < MIN_WORDS:
+                self.whole.setdefault(tuple(w), []).append(i)
+        self.terms = {t: k for k, t in enumerate(dict.fromkeys(t for w in self.texts if len(w) >= MIN_WORDS for t in w))}
         idf = {t: math.log(1 + (count - df[t] + 0.5) / (df[t] + 0.5)) for t in self.terms}
         #: Of each passage the impact of each of its terms, and the score from which it is retrieved.
         self.impacts: list[dict[int, float]] = []
@@ -116,14 +125,19 @@ class Index:
         entry: list[tuple[int, int, float]] = []
         rest = []
         for p, w in enumerate(self.texts):
+            if len(w) < MIN_WORDS:
+                self.impacts.append({})
+                self.need.append(math.inf)
+                rest.append(0.0)
+                continue
             words = Counter(w)
             weight = {t: idf[t] * c * (K1 + 1) / (c + K1 * (1 - B + B * len(w) / mean)) for t, c in words.items()}
             own = sum(weight.values())
             share = {t: x / own for t, x in weight.items()}
             self.impacts.append({self.terms[t]: x for t, x in share.items()})
-            # A passage with all the edits that its halves allow still scores so much.
-            lost = sum(sum(sorted((share[t] / words[t] for t in h), reverse=True)[: allowed(len(h))]) for h in _cut(w))
-            self.need.append(min(MIN_SCORE, 1 - lost))
+            # A passage with all the edits that it allows still scores so much.
+            lost = [x for h in _cut(w) for x in sorted((share[t] / words[t] for t in h), reverse=True)[: allowed(len(h))]]
+            self.need.append(min(MIN_SCORE, 1 - sum(sorted(lost, reverse=True)[: allowed(len(w), EDITS)])))
             # The least terms, which together stay under a part of the threshold, open no passage.
             left = 0.0
             for t, x in sorted(share.items(), key=lambda x: (x[1], x[0])):
@@ -244,15 +258,16 @@ class Index:
         return out
 
     def verified(self, p: int, words: list[str], present: set[str], grams: set) -> float:
-        """The smaller of the shares of the question and of the answer that the query holds; 0 where either is too little."""
+        """The smaller of the shares of the question and of the answer that the query holds; 0 where it holds too little."""
         if p not in self.halves:
             #: An item is one text, so question and answer of a test passage are its first and second half.
-            self.halves[p] = [Half(h) for h in _cut(self.texts[p]) if h]
-        least = 1.0
+            self.halves[p] = [Half(h) for h in _cut(self.texts[p])]
+        least, left = 1.0, allowed(len(self.texts[p]), EDITS)
         for h in self.halves[p]:
-            least = min(least, h.share(words, present, grams))
-            if not least:
-                break
+            found = h.held(words, present, grams)
+            if not found or found[1] > left:
+                return 0.0
+            least, left = min(least, found[0]), left - found[1]
         return least
 
     def search(self, texts: list[str | None]) -> list[dict[int, float]]:
@@ -260,6 +275,10 @@ class Index:
         out: list[dict[int, float]] = [{} for _ in texts]
         if not self.items:
             return out
+        if self.whole:
+            for i, text in enumerate(texts):
+                for item in self.whole.get(tuple(m[0] for m in islice(_WORD.finditer((text or "").lower()), MIN_WORDS)), ()):
+                    out[i][item] = 1.0
         for run in _bounded((i, words) for i, text in enumerate(texts) for words in self.chunks.runs(text)):
             for i, q in self.queries([codes for _, _, codes in run]):
                 doc, chunks, _ = run[i]
@@ -375,7 +394,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, overlap of every test item that a row of ``docs`` holds; one row for each pair.
 
     A document holds an item if one of its passages retrieves a test passage of it by BM25 and holds its question and its
-    answer: MIN_OVERLAP of the n-grams, or all but ``allowed`` of the words in order. Null and empty texts and items hold
+    answer: MIN_OVERLAP of the n-grams of each, or its words in order but for edits, HALF_EDITS of the words of each at most
+    and EDITS of those of both. An item of fewer than MIN_WORDS words is held by documents that have its words and no
+    others, in their order. Null and empty texts and items hold
     nothing and are nowhere; null ids are ids like any other; repeated rows give one row; equal items are each reported.
     Empty tables give an empty result; other columns are ignored. The index is broadcast shard by shard, each searched and
     its result written before the next; the frequencies that it uses are of the whole benchmark.

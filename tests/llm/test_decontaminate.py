@@ -74,3 +74,35 @@ def test_leaks_odd_rows_and_shards(spark, monkeypatch, size):
     assert got == sorted([(None, 1), (3, 0), (3, 100), (4, 2), (5, 3)], key=str)
     assert d.find_leaks(df.limit(0), bench).count() == 0
     assert d.find_leaks(df, bench.limit(0)).count() == 0
+
+
+def test_most_leaks_with_one_word_in_seven_changed_are_held():
+    """Edits fall anywhere, so one half may have most of them; words in another order, halves and prose of the same words are no leak."""
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{i}" for i in range(600)]
+    draw = lambda n: rng.choice(vocabulary, n).tolist()
+    items = [draw(int(n)) for n in rng.integers(15, 60, 60)]
+    index = d.Index(list(enumerate(items)))
+    for share, least in ((0.05, 0.99), (0.1, 0.97), (0.15, 0.9)):
+        texts = [" ".join([*draw(int(rng.integers(0, 250))), *(draw(1)[0] if rng.random() < share else w for w in x), *draw(40)]) for x in items * 3]
+        found = index.search(texts)
+        assert sum(k % 60 in x for k, x in enumerate(found)) >= least * len(found)
+        assert all(set(x) <= {k % 60} for k, x in enumerate(found))
+    others = [*(rng.permutation(x).tolist() for x in items), *(x[: len(x) // 2] + draw(60) for x in items), *(draw(2000) for _ in range(40))]
+    assert not any(index.search([" ".join(x) for x in others]))
+
+
+def test_edits_are_counted_over_the_item():
+    words = [f"w{i}" for i in range(40)]
+    index = d.Index([(0, words), (1, [f"v{i}" for i in range(40)])])
+    edited = lambda at: " ".join("x" if i in at else w for i, w in enumerate(words))
+    first = [*range(0, 20, 2)]
+    assert index.search([edited(first[:8]), edited([*first[:8], 25, 35]), edited(first[:9]), edited([*first[:8], 22, 25, 35])]) == [{0: pytest.approx(0.6)}, {0: pytest.approx(0.6)}, {}, {}]
+
+
+def test_short_items_are_held_by_whole_texts_alone(spark):
+    bench = spark.createDataFrame([(0, "Yes."), (1, "yes no"), (2, "a b c d e f g"), (3, "m n o p q r s t"), (4, "A, b c d e f g")], "item_id long, text string")
+    docs = [(0, "yes"), (1, "well, yes no"), (2, " YES -- no!"), (3, "a b c d e f g"), (4, "m n o p q r s t"), (5, "x m n o p q r s t y"), (9, "a b c d e f g h"), (6, "no yes"), (7, None), (8, "")]
+    got = sorted(map(tuple, d.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()))
+    assert got == [(0, 0, 1.0), (2, 1, 1.0), (3, 2, 1.0), (3, 4, 1.0), (4, 3, 1.0), (5, 3, 1.0)]
+    assert d.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench.filter("item_id < 2")).count() == 2

@@ -113,10 +113,14 @@ def ids():
 def test_packing(spark, ids):
     rows = packing.pack_documents(_docs(spark)).collect()
     whole, windows = Counter((d, len(x)) for d, x in ids), defaultdict(list)
-    crc = {(d, s, n): brute.crc_ids(x[s : s + n]) for d, x in ids for s in range(1) for n in (len(x),)}
+    covered = Counter()
     for r in rows:
         windows[r.sequence_id].append((r.offset, r.length))
-        assert crc.get((r.doc_id, r.start, r.length), r.ids_crc32) == r.ids_crc32 or sum(d == r.doc_id for d, _ in ids) > 1
+        # Rows that share an id, or have none, are told apart by their lengths here; each piece is one of such a text.
+        own = [x for d, x in ids if (d, len(x)) == (r.doc_id, r.doc_tokens)]
+        assert r.ids_crc32 in {brute.crc_ids(x[r.start : r.start + r.length]) for x in own}
+        covered.update((r.doc_id, r.doc_tokens, at) for at in range(r.start, r.start + r.length))
+    assert covered == Counter((d, len(x), at) for d, x in ids for at in range(len(x)))
     assert Counter((r.doc_id, r.doc_tokens) for r in rows if r.start == 0) == whole
     assert sum(r.length for r in rows) == sum(len(x) for _, x in ids)
     for found in windows.values():

@@ -13,6 +13,7 @@ is multiplied on its whole set, first against the others, then among its like wi
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,10 @@ from skyledger.llm.words import end, folded, runs, step, with_words
 
 #: Pairs of a column for each of its entries, from which it is common; with more entries it is looked at more closely.
 COMMON = 50
+#: Partners that a node meets at once when candidates are compared; of more, it meets twice as many each time until it is connected.
+PARTNERS = 4
+#: Members that holders of a common n-gram are dealt out by, at random, to connect them before all their pairs are listed.
+DEALT = 8
 #: First n-grams of a set that name its buckets among documents of common n-grams.
 BUCKETS = 4
 #: Words of 64 bits of a set's signature, whose bits tell whether an odd number of its n-grams fall on them.
@@ -139,20 +144,39 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "_x", "_y").mapInArrow(counted, "a long, b long").distinct()
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b, and what else they have) of different components."""
+    rest = pairs
+    for c in "ab":
+        rest = rest.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c, "left")
+    return rest.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select(*pairs.columns)
+
+
+def _few(pairs: DataFrame) -> bool:
+    count, nodes = pairs.agg(F.count("*"), F.count_distinct("b")).first()
+    return count <= PARTNERS * nodes
+
+
 def connected(pairs: DataFrame, sets: DataFrame, percent: int, found: DataFrame) -> DataFrame:
     """``found`` with links of ``pairs`` (a < b), enough of them to connect all that they link.
 
-    Each node is compared with the smallest that it is paired with; then only pairs of different components are left. So a
-    group of near copies costs comparisons in proportion to its members.
+    Each node is compared with the smallest that it is paired with; then only pairs of different components are left, and of
+    these each node meets few, then more of its partners until it is connected. So a group of near copies costs comparisons in
+    proportion to its members.
     """
     first = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")), "ngram-first-pairs")
     found = found.unionByName(materialize(linked(first, sets, percent), "ngram-first-links"))
-    labels = components(found)
-    rest = pairs
-    for c in "ab":
-        rest = rest.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c, "left")
-    rest = rest.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
-    return found.unionByName(materialize(linked(materialize(rest, "ngram-other-pairs"), sets, percent), "ngram-other-links"))
+    rest = _apart(pairs, components(found)).withColumn("nth", F.row_number().over(Window.partitionBy("b").orderBy(F.xxhash64("a"), "a")))
+    rest, most = materialize(rest, "ngram-other-pairs"), PARTNERS
+    while True:
+        # Few partners a node are compared at once; of many, twice as many each time, as long as they are not connected.
+        last = _few(rest)
+        now = rest if last else rest.filter(F.col("nth") <= most)
+        found = found.unionByName(materialize(linked(now.select("a", "b"), sets, percent), "ngram-other-links"))
+        if last:
+            return found
+        rest = materialize(_apart(rest.filter(F.col("nth") > most), components(found)), "ngram-other-pairs")
+        most *= 2
 
 
 def _some(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -178,10 +202,12 @@ def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
 
 def bucket_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links of nodes with one member of each bucket: all members of one of the BUCKETS first n-grams are compared with the
-    smallest, then, where they are not connected yet, with the largest."""
+    smallest, then, where they are not connected yet, with the largest, then with one at random as long as that connects one of
+    twenty."""
     keys = sets.select("node", F.explode(F.slice("entries", 1, BUCKETS)).alias("key"))
     found = None
-    for take in (F.min, F.max):
+    for r in itertools.count():
+        take = (F.min, F.max)[r] if r < 2 else lambda hub, r=r: F.min_by(hub, F.xxhash64("node", F.lit(r)))
         marked = keys.withColumn("label", F.col("node")) if found is None else _labelled(keys, components(found))
         hubs = marked.groupBy("key").agg(take(F.struct("node", "label")).alias("hub"), F.min("label").alias("_l"), F.max("label").alias("_h"))
         hubs = materialize(hubs.filter("_l < _h").select("key", "hub"), "ngram-hubs")
@@ -189,13 +215,35 @@ def bucket_links(sets: DataFrame, percent: int) -> DataFrame:
         pairs = materialize(pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct(), "ngram-hub-pairs")
         new = materialize(linked(pairs, sets, percent), "ngram-hub-links")
         found = new if found is None else found.unionByName(new)
-    return found
+        if r and 20 * new.count() <= pairs.count():
+            return found
+
+
+def _by_gram(entries: DataFrame) -> DataFrame:
+    """gram, k (entries), kk (sum of the squares of its labels' entries)."""
+    each = entries.groupBy("gram", "label").agg(F.count("*").cast("double").alias("k"))
+    return each.groupBy("gram").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
 
 
-def rare_links(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Links among nodes of different labels with their whole sets: they share an n-gram among the first of each, rarest first."""
+def _alike(rare: DataFrame, percent: int, *on: str) -> DataFrame:
+    """Pairs of nodes of different labels that agree in ``on`` and that sizes, places and signatures leave."""
+    names = {"node": "", "label": "l", "n": "n", "nth": "i", "signature": "s"}
+    x, y = (rare.select(*on, *[F.col(k).alias(f"{v}{c}") for k, v in names.items()]) for c in "ab")
+    # What may still be shared from this n-gram on, in the common order, must reach the overlap; what differs must stay under it.
+    least = _least_overlap("na", "nb", percent)
+    reach = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) + 1 >= least
+    alike = _differences("sa", "sb") <= F.col("na") + F.col("nb") - 2 * least
+    return x.join(y, [*on]).filter("a < b and la <> lb").filter(_sizes("na", "nb", percent) & reach & alike).select("a", "b").distinct()
+
+
+def rare_links(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """``found`` with links among nodes with their whole sets: they share an n-gram among the first of each, rarest first.
+
+    Where that would list many pairs, the holders of an n-gram are dealt out at random into groups of DEALT first, whose
+    pairs are compared, as long as that connects more; what is connected makes no pairs.
+    """
     # A column counts once for each label: what only one label holds comes first, and makes no pair.
-    grams = _labelled(sets, labels).select("node", "label", F.col("n_shingles").alias("n"), F.explode("entries").alias("gram"))
+    grams = _labelled(sets, components(found)).select("node", "label", F.col("n_shingles").alias("n"), F.explode("entries").alias("gram"))
     per_label = grams.groupBy("gram", "label").agg(F.lit(1).alias("_one"))
     shared = materialize(per_label.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1"), "ngram-shared")
     grams = materialize(grams.join(shared, "gram"), "ngram-dense-entries")
@@ -205,13 +253,23 @@ def rare_links(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     rare = materialize(grams.withColumn("nth", nth).filter(F.col("nth") <= _head(F.col("n"), percent)), "ngram-rare")
     # The signatures come last, to the few entries that are left.
     rare = materialize(rare.join(sets.select("node", "signature"), "node"), "ngram-rare-signed")
-    x, y = (rare.select("gram", *[F.col(k).alias(f"{v}{c}") for k, v in {"node": "", "label": "l", "n": "n", "nth": "i", "signature": "s"}.items()]) for c in "ab")
-    # What may still be shared from this n-gram on, in the common order, must reach the overlap; what differs must stay under it.
-    least = _least_overlap("na", "nb", percent)
-    reach = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) + 1 >= least
-    alike = _differences("sa", "sb") <= F.col("na") + F.col("nb") - 2 * least
-    pairs = x.join(y, "gram").filter("a < b and la <> lb").filter(_sizes("na", "nb", percent) & reach & alike).select("a", "b").distinct()
-    return materialize(linked(materialize(pairs, "ngram-rare-pairs"), sets, percent), "ngram-rare-links")
+    for r in itertools.count():
+        columns = materialize(_by_gram(rare), "ngram-rare-columns")
+        entries, pairs = columns.agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2)).first()
+        if not entries or pairs <= COMMON * entries:
+            break
+        group = F.pmod(F.xxhash64("node", F.lit(r)), F.ceil(F.col("k") / DEALT))
+        dealt = rare.join(columns.select("gram", "k"), "gram").withColumn("group", group)
+        pairs = materialize(_alike(dealt, percent, "gram", "group"), "ngram-dealt-pairs")
+        new = materialize(linked(pairs, sets, percent), "ngram-dealt-links")
+        found = found.unionByName(new)
+        if 100 * new.count() < rare.select("node").distinct().count():
+            break
+        rare = materialize(_labelled(rare.drop("label"), components(found)), "ngram-rare-signed")
+    pairs = materialize(_alike(rare, percent, "gram"), "ngram-rare-pairs")
+    if _few(pairs):
+        return found.unionByName(materialize(linked(pairs, sets, percent), "ngram-rare-links"))
+    return connected(pairs, sets, percent, found)
 
 
 def _ends(common: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
@@ -238,9 +296,7 @@ def jaccard_links(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> Da
     labels = components(found)
     # Columns by the pairs of different labels that they would make: common are those with more than COMMON for each entry.
     frequent = _labelled(held.filter("frequent").select("gram", "node"), labels)
-    each = frequent.groupBy("gram", "label").agg(F.count("*").cast("double").alias("k"))
-    each = each.groupBy("gram").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
-    common = materialize(each.filter((F.col("k") * F.col("k") - F.col("kk")) / 2 > COMMON * F.col("k")).select("gram"), "ngram-common")
+    common = materialize(_by_gram(frequent).filter((F.col("k") * F.col("k") - F.col("kk")) / 2 > COMMON * F.col("k")).select("gram"), "ngram-common")
     ends = _ends(held.filter("frequent").join(common, "gram"), sizes, percent)
     ends = materialize(ends, "ngram-ends")
     heads = held.join(common, "gram", "left_anti").join(ends, "node", "left")
@@ -260,7 +316,7 @@ def jaccard_links(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> Da
     free_shuffles(docs.sparkSession)
     found = connected(pairs, used, percent, found)
     release(used)
-    return found if dense.isEmpty() else found.unionByName(rare_links(dense, components(found), percent))
+    return found if dense.isEmpty() else rare_links(dense, found, percent)
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

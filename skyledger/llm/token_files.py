@@ -81,19 +81,22 @@ class Codebook:
     def decode(self, payload: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
         """All segments of a block step by step side by side."""
         cells = np.frombuffer(payload, dtype=">u4").astype(np.uint64)
-        pairs = (cells[:-1] << np.uint64(32)) | cells[1:]
-        at = np.asarray(checkpoints, dtype=np.int64).copy()
+        # The last segment may end early, and then reads on in zeros.
+        pairs = np.concatenate([(cells[:-1] << np.uint64(32)) | cells[1:], np.zeros(SEGMENT * self.width // 32 + 1, np.uint64)])
+        at = np.asarray(checkpoints, dtype=np.uint64).copy()
         out = np.zeros((SEGMENT, len(at)), dtype=np.uint32)
-        shift, mask, last = 64 - self.width, np.uint64((1 << self.width) - 1), len(pairs) - 1
+        five, low, top, mask = np.uint64(5), np.uint64(31), np.uint64(64 - self.width), np.uint64((1 << self.width) - 1)
+        both = self.symbols.astype(np.uint64) << np.uint64(8) | self.steps
         for i in range(SEGMENT):
-            window = pairs[np.minimum(at >> 5, last)] >> (shift - (at & 31)).astype(np.uint64) & mask
-            out[i] = self.symbols[window]
-            at += self.steps[window]
+            window = pairs[at >> five] >> (top - (at & low)) & mask
+            found = both[window]
+            out[i] = found >> np.uint64(8)
+            at += found & np.uint64(255)
         return out.T.reshape(-1)[:n]
 
 
-_RAW = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())])
-_RAW_DDL = "part int, block int, doc_ids array<long>, lengths array<long>, payload binary"
+_RAW = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary()), ("tokens", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+_RAW_DDL = "part int, block int, doc_ids array<long>, lengths array<long>, payload binary, tokens array<long>, counts array<long>"
 
 
 def _row(schema: pa.Schema, *values: object) -> pa.RecordBatch:
@@ -101,41 +104,44 @@ def _row(schema: pa.Schema, *values: object) -> pa.RecordBatch:
 
 
 def raw_blocks(ordered: DataFrame, path: str) -> DataFrame:
-    """Plain ids in blocks of whole documents, from rows in their final order within and across partitions."""
+    """Plain ids in blocks of whole documents, from rows in their final order within and across partitions. A partition's last
+    row has no payload: it says how often each id occurs in the blocks before."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, block, size = TaskContext.get().partitionId(), 0, 0
         held: list[tuple] = []
+        total = np.zeros(0, dtype=np.int64)
+
+        def row() -> pa.RecordBatch:
+            nonlocal total
+            payload = b"".join([x for _, x in held])
+            new = np.bincount(np.frombuffer(payload, dtype="<u4"), minlength=len(total))
+            new[: len(total)] += total
+            total = new
+            return _row(_RAW, part, block, [d for d, _ in held], [len(x) // 4 for _, x in held], payload, None, None)
+
         for batch in batches:
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded(batch.column("text"), path), strict=True):
                 held.append((doc_id, ids))
                 size += len(ids) // 4
                 if size >= BLOCK_IDS:
-                    yield _row(_RAW, part, block, [d for d, _ in held], [len(x) // 4 for _, x in held], b"".join([x for _, x in held]))
+                    yield row()
                     held, size, block = [], 0, block + 1
         if held:
-            yield _row(_RAW, part, block, [d for d, _ in held], [len(x) // 4 for _, x in held], b"".join([x for _, x in held]))
+            yield row()
+        tokens = np.flatnonzero(total)
+        if len(tokens):
+            yield _row(_RAW, part, None, None, None, None, tokens, total[tokens])
 
     return ordered.select("doc_id", "text").mapInArrow(encode, _RAW_DDL)
 
 
 def token_counts(raw: DataFrame) -> dict[int, int]:
     """How often each id occurs over all blocks; one entry a vocabulary token at most reaches the driver."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, dtype=np.int64)
-        for b in batches:
-            for payload in b.column("payload"):
-                new = np.bincount(np.frombuffer(payload.as_buffer(), dtype="<u4"))
-                total = np.pad(total, (0, max(0, len(new) - len(total))))
-                total[: len(new)] += new
-        tokens = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"token": tokens.astype(np.int64), "n": total[tokens]})
-
-    counts = raw.select("payload").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    return {r["token"]: r["n"] for r in counts.collect()}
+    each = raw.select(F.explode(F.arrays_zip("tokens", "counts")).alias("of")).groupBy(F.col("of.tokens").alias("token"))
+    return {r["token"]: r["n"] for r in each.agg(F.sum("of.counts").alias("n")).collect()}
 
 
 def write_token_files(docs: DataFrame, out: str, tokenizer: str | None = None, partitions: int | None = None) -> None:
@@ -163,7 +169,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str | None = None, p
                 bits, marks = book.encode(np.frombuffer(payload.as_buffer(), dtype="<u4"))
                 yield pa.RecordBatch.from_pydict({n: b.column(n).slice(i, 1) for n in ("part", "block", "doc_ids", "lengths")} | {"checkpoints": pa.array([marks], pa.list_(pa.int64())), "payload": pa.array([bits], pa.binary())})
 
-    blocks = raw.mapInArrow(compress, "part int, block int, doc_ids array<long>, lengths array<long>, checkpoints array<long>, payload binary")
+    blocks = raw.filter("payload is not null").drop("tokens", "counts").mapInArrow(compress, "part int, block int, doc_ids array<long>, lengths array<long>, checkpoints array<long>, payload binary")
     blocks.write.option("compression", "uncompressed").parquet(f"{out}/blocks")
 
 

@@ -152,9 +152,17 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return rest.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select(*pairs.columns)
 
 
-def _few(pairs: DataFrame) -> bool:
-    count, nodes = pairs.agg(F.count("*"), F.count_distinct("b")).first()
-    return count <= PARTNERS * nodes
+def _labels(found: DataFrame) -> DataFrame:
+    """Components of the links so far. Shuffle files of the phases before go first."""
+    free_shuffles(found.sparkSession)
+    return components(found)
+
+
+def _partners(pairs: DataFrame) -> tuple[DataFrame, bool]:
+    """b, k (pairs of this b); whether that is few of each."""
+    of = materialize(pairs.groupBy("b").agg(F.count("*").alias("k")), "ngram-partners")
+    count, nodes = of.agg(F.sum("k"), F.count("*")).first()
+    return of, (count or 0) <= PARTNERS * nodes
 
 
 def connected(pairs: DataFrame, sets: DataFrame, percent: int, found: DataFrame) -> DataFrame:
@@ -166,17 +174,24 @@ def connected(pairs: DataFrame, sets: DataFrame, percent: int, found: DataFrame)
     """
     first = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")), "ngram-first-pairs")
     found = found.unionByName(materialize(linked(first, sets, percent), "ngram-first-links"))
-    rest = _apart(pairs, components(found)).withColumn("nth", F.row_number().over(Window.partitionBy("b").orderBy(F.xxhash64("a"), "a")))
-    rest, most = materialize(rest, "ngram-other-pairs"), PARTNERS
+    release(first)
+    rest, most, done = pairs, PARTNERS, []
     while True:
-        # Few partners a node are compared at once; of many, twice as many each time, as long as they are not connected.
-        last = _few(rest)
-        now = rest if last else rest.filter(F.col("nth") <= most)
-        found = found.unionByName(materialize(linked(now.select("a", "b"), sets, percent), "ngram-other-links"))
+        labels = _labels(found)
+        rest = materialize(_apart(rest, labels), "ngram-other-pairs")
+        of, last = _partners(rest)
+        for table in (labels, *done):
+            release(table)
+        # Few partners a node are compared at once; of many, twice as many each time, drawn by hash, as long as they are not connected.
+        drawn = rest.join(of, "b").withColumn("now", F.pmod(F.xxhash64("a", "b", F.lit(most)), F.col("k")) < most)
+        now = rest if last else drawn.filter("now").select("a", "b")
+        found = found.unionByName(materialize(linked(now, sets, percent), "ngram-other-links"))
+        done = [rest, of]
         if last:
+            release(rest)
+            release(of)
             return found
-        rest = materialize(_apart(rest.filter(F.col("nth") > most), components(found)), "ngram-other-pairs")
-        most *= 2
+        rest, most = drawn.filter("not now").select("a", "b"), 2 * most
 
 
 def _some(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -208,14 +223,18 @@ def bucket_links(sets: DataFrame, percent: int) -> DataFrame:
     found = None
     for r in itertools.count():
         take = (F.min, F.max)[r] if r < 2 else lambda hub, r=r: F.min_by(hub, F.xxhash64("node", F.lit(r)))
-        marked = keys.withColumn("label", F.col("node")) if found is None else _labelled(keys, components(found))
+        labels = None if found is None else _labels(found)
+        marked = keys.withColumn("label", F.col("node")) if labels is None else _labelled(keys, labels)
         hubs = marked.groupBy("key").agg(take(F.struct("node", "label")).alias("hub"), F.min("label").alias("_l"), F.max("label").alias("_h"))
         hubs = materialize(hubs.filter("_l < _h").select("key", "hub"), "ngram-hubs")
         pairs = marked.join(hubs, "key").filter("label <> hub.label")
         pairs = materialize(pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct(), "ngram-hub-pairs")
         new = materialize(linked(pairs, sets, percent), "ngram-hub-links")
         found = new if found is None else found.unionByName(new)
-        if r and 20 * new.count() <= pairs.count():
+        last = r and 20 * new.count() <= pairs.count()
+        for done in (hubs, pairs, *([labels] if labels else [])):
+            release(done)
+        if last:
             return found
 
 
@@ -239,11 +258,12 @@ def _alike(rare: DataFrame, percent: int, *on: str) -> DataFrame:
 def rare_links(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """``found`` with links among nodes with their whole sets: they share an n-gram among the first of each, rarest first.
 
-    Where that would list many pairs, the holders of an n-gram are dealt out at random into groups of DEALT first, whose
-    pairs are compared, as long as that connects more; what is connected makes no pairs.
+    Where that would list many pairs, the holders of an n-gram are dealt out at random into groups of DEALT first, twice as
+    large each time, whose pairs are compared, as long as that connects more; what is connected makes no pairs.
     """
     # A column counts once for each label: what only one label holds comes first, and makes no pair.
-    grams = _labelled(sets, components(found)).select("node", "label", F.col("n_shingles").alias("n"), F.explode("entries").alias("gram"))
+    labels = _labels(found)
+    grams = _labelled(sets, labels).select("node", "label", F.col("n_shingles").alias("n"), F.explode("entries").alias("gram"))
     per_label = grams.groupBy("gram", "label").agg(F.lit(1).alias("_one"))
     shared = materialize(per_label.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1"), "ngram-shared")
     grams = materialize(grams.join(shared, "gram"), "ngram-dense-entries")
@@ -252,22 +272,33 @@ def rare_links(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     nth = alone + F.row_number().over(Window.partitionBy("node").orderBy("df", "gram"))
     rare = materialize(grams.withColumn("nth", nth).filter(F.col("nth") <= _head(F.col("n"), percent)), "ngram-rare")
     # The signatures come last, to the few entries that are left.
-    rare = materialize(rare.join(sets.select("node", "signature"), "node"), "ngram-rare-signed")
+    unsigned, rare = rare, materialize(rare.join(sets.select("node", "signature"), "node"), "ngram-rare-signed")
+    for done in (labels, shared, grams, unsigned):
+        release(done)
+    nodes = rare.select("node").distinct().count()
     for r in itertools.count():
         columns = materialize(_by_gram(rare), "ngram-rare-columns")
         entries, pairs = columns.agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2)).first()
         if not entries or pairs <= COMMON * entries:
             break
-        group = F.pmod(F.xxhash64("node", F.lit(r)), F.ceil(F.col("k") / DEALT))
+        group = F.pmod(F.xxhash64("node", F.lit(r)), F.ceil(F.col("k") / (DEALT << r)))
         dealt = rare.join(columns.select("gram", "k"), "gram").withColumn("group", group)
         pairs = materialize(_alike(dealt, percent, "gram", "group"), "ngram-dealt-pairs")
         new = materialize(linked(pairs, sets, percent), "ngram-dealt-links")
         found = found.unionByName(new)
-        if 100 * new.count() < rare.select("node").distinct().count():
+        release(pairs)
+        release(columns)
+        if 100 * new.count() < nodes:
             break
-        rare = materialize(_labelled(rare.drop("label"), components(found)), "ngram-rare-signed")
+        labels = _labels(found)
+        before, rare = rare, materialize(_labelled(rare.drop("label"), labels), "ngram-rare-signed")
+        release(labels)
+        release(before)
     pairs = materialize(_alike(rare, percent, "gram"), "ngram-rare-pairs")
-    if _few(pairs):
+    release(rare)
+    of, few = _partners(pairs)
+    release(of)
+    if few:
         return found.unionByName(materialize(linked(pairs, sets, percent), "ngram-rare-links"))
     return connected(pairs, sets, percent, found)
 
@@ -290,10 +321,10 @@ def jaccard_links(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> Da
     shared = materialize(counts.select("gram", (F.col("df") > COMMON).alias("frequent")), "ngram-columns")
     held = materialize(entries.join(shared, "gram"), "ngram-entries")
     # Members of large groups of near copies hold frequent n-grams; most are connected by comparison with one member.
-    dense = materialize(_ends(held.filter("frequent"), sizes, percent).filter("dense").select("node"), "ngram-frequent-nodes")
-    dense = _sets_of(dense, of_node, docs, n, "ngram-frequent-sets")
-    found = bucket_links(dense, percent)
-    labels = components(found)
+    frequent_nodes = materialize(_ends(held.filter("frequent"), sizes, percent).filter("dense").select("node"), "ngram-frequent-nodes")
+    frequent_sets = _sets_of(frequent_nodes, of_node, docs, n, "ngram-frequent-sets")
+    found = bucket_links(frequent_sets, percent)
+    labels = _labels(found)
     # Columns by the pairs of different labels that they would make: common are those with more than COMMON for each entry.
     frequent = _labelled(held.filter("frequent").select("gram", "node"), labels)
     common = materialize(_by_gram(frequent).filter((F.col("k") * F.col("k") - F.col("kk")) / 2 > COMMON * F.col("k")).select("gram"), "ngram-common")
@@ -304,13 +335,16 @@ def jaccard_links(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> Da
     light = materialize(_labelled(heads.filter("not dense").drop("dense"), labels), "ngram-heads")
     release(held)
     pairs = materialize(product(light, light, percent, True), "ngram-pairs")
-    dense = materialize(dense.join(ends.filter("dense").select("node"), "node", "left_semi").dropDuplicates(["node"]), "ngram-dense")
+    dense = materialize(frequent_sets.join(ends.filter("dense").select("node"), "node", "left_semi").dropDuplicates(["node"]), "ngram-dense")
+    release(frequent_sets)
     # The whole head of a dense node: its n-grams that are not common, as far as they go.
     rest = dense.select("node", F.col("n_shingles").alias("n"), F.posexplode("entries").alias("pos", "gram")).join(common, "gram", "left_anti")
     nth = F.row_number().over(Window.partitionBy("node").orderBy("pos"))
     rest = rest.withColumn("nth", nth).filter(F.col("nth") <= _head(F.col("n"), percent)).select("gram", "node", "n")
     rest = materialize(_labelled(rest, labels), "ngram-dense-heads")
-    pairs = materialize(pairs.unionByName(product(rest, light, percent, False)), "ngram-all-pairs")
+    light_pairs, pairs = pairs, materialize(pairs.unionByName(product(rest, light, percent, False)), "ngram-all-pairs")
+    for done in (labels, common, ends, light, rest, light_pairs):
+        release(done)
     free_shuffles(docs.sparkSession)
     used = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), of_node, docs, n, "ngram-sets")
     free_shuffles(docs.sparkSession)
@@ -342,7 +376,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     # The texts of one id are linked: each with the one of the smallest node.
     several = live.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("_most")).filter("a < _most").select("doc_id", "a")
     own = live.select("doc_id", F.col("node").alias("b")).join(materialize(several, "ngram-several"), "doc_id").filter("a < b").select("a", "b")
-    labels = components(materialize(links.unionByName(own), "ngram-all-links"))
+    labels = _labels(materialize(links.unionByName(own), "ngram-all-links"))
     named = of_node.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc_id")
     least = materialize(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "ngram-components")
     named = materialize(named.join(least, "label").select("node", "component_id"), "ngram-named")
